@@ -1,0 +1,5 @@
+"""Nothing here by design: the workload is a daily batch, re-run per ``dt``.
+
+Late or re-delivered data is handled by running a day again, which replaces its
+partition (see ``pledgemart.plans.jobs.run_silver``).
+"""
