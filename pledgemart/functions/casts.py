@@ -9,8 +9,9 @@ from pledgemart import fixed_values as fv
 # Every character Python's str.strip() removes.
 WHITESPACE = "".join(chr(c) for c in range(0x3001) if chr(c).isspace())
 
-# Java would also read "12d" or "1f" as numbers.
-_JAVA_NUMBER_SUFFIX = r"[dDfF]\s*$"
+# Checked before a cast: a failed cast costs an exception, and Java reads "12d" as a number.
+_WHOLE = r"^\s*[+-]?\d+\s*$"
+_NUMBER = r"(?i)^\s*[+-]?((\d+\.?\d*|\.\d+)(e[+-]?\d+)?|inf(inity)?)\s*$"
 
 
 def strip(text: Column) -> Column:
@@ -22,17 +23,14 @@ def blank_to_null(text: Column) -> Column:
 
 
 def to_double(text: Column) -> Column:
-    number = text.try_cast("double")
-    word = F.lower(strip(text))
-    suffixed = text.rlike(_JAVA_NUMBER_SUFFIX) & ~word.rlike("^[+-]?inf$")
-    return F.when(suffixed | F.isnan(number), F.lit(None)).otherwise(number)
+    return F.when(text.rlike(_NUMBER), text.try_cast("double"))
 
 
 def to_long(text: Column) -> Column:
     """Whole numbers only: '12' and '12.0' give 12, '12.5' and 'abc' give NULL."""
-    number = to_double(text)
+    number = text.try_cast("double")
     whole = F.when(number == F.floor(number), number.try_cast("bigint"))
-    return F.coalesce(text.try_cast("bigint"), whole)
+    return F.when(text.rlike(_WHOLE), text.try_cast("bigint")).when(text.rlike(_NUMBER), whole)
 
 
 def to_boolean(text: Column) -> Column:

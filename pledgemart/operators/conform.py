@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pledgemart.functions.casts import cast_text, fill_missing
 from pledgemart.functions.times import normalize_dt, now_kst
@@ -19,7 +19,10 @@ def field_text(path: str, record: str = "record", parent: str = "parent") -> Col
 
     Paths are case-sensitive, so ``campaignId`` and ``campaignid`` are different fields.
     """
-    value = F.try_variant_get(record, f"$.{path}", "string")
+    return _or_parent(path, F.try_variant_get(record, f"$.{path}", "string"), parent)
+
+
+def _or_parent(path: str, value: Column, parent: str) -> Column:
     if path.startswith(PARENT):
         return F.coalesce(value, F.try_element_at(F.col(parent), F.lit(path.removeprefix(PARENT))))
     return value
@@ -34,6 +37,55 @@ def first_present(candidates: str | Iterable[str], default: str | None = None, *
     return F.coalesce(*values)
 
 
+def _shape(paths: Iterable[str]) -> tuple[T.StructType, T.StructType, dict[str, str]]:
+    """Nested struct of the paths, the same with numbered names, and where each path is in it."""
+    tree: dict = {}
+    for path in paths:
+        node = tree
+        for step in path.split("."):
+            node = node.setdefault(step, {})
+    places: dict[str, str] = {}
+
+    def build(node: dict, prefix: str, place: str) -> tuple[T.StructType, T.StructType]:
+        named, numbered = T.StructType(), T.StructType()
+        for i, (step, inner) in enumerate(node.items()):
+            path, at = f"{prefix}{step}", f"{place}.f{i}"
+            if inner:
+                a, b = build(inner, f"{path}.", at)
+            else:
+                a = b = T.StringType()
+                places[path] = at
+            named.add(step, a)
+            numbered.add(f"f{i}", b)
+        return named, numbered
+
+    named, numbered = build(tree, "", "fields")
+    return named, numbered, places
+
+
+def pick_first_present(
+    records: DataFrame, candidates: Mapping[str, str | Iterable[str]], *extra: Column
+) -> DataFrame:
+    """``first_present`` for many columns with one pass over each record.
+
+    The record is cast to a struct of all wanted fields at once: looking each field up on its
+    own would scan the record once per candidate. Numbered names keep ``campaignId`` and
+    ``campaignid`` apart. Casts refer to a text several times, so the texts get a projection of
+    their own, and the record itself goes no further.
+    """
+    lists = {n: c.split() if isinstance(c, str) else list(c) for n, c in candidates.items()}
+    named, numbered, places = _shape(p for paths in lists.values() for p in paths)
+    staged = records.select(
+        F.col("record").try_cast(named).cast(numbered).alias("fields"), "parent", "source_key", READ_ORDER, *extra
+    )
+    columns = [
+        F.coalesce(*[_or_parent(p, F.col(places[p]), "parent") for p in paths]).alias(name)
+        for name, paths in lists.items()
+    ]
+    kept = [c for c in staged.columns if c not in ("fields", "parent")]
+    return staged.select(*columns, *kept)
+
+
 def either_container(candidates: str, containers: tuple[str, ...] = ("raw_text", "raw")) -> list[str]:
     """Spell out ``raw.x`` candidates once per container that may hold ``x``."""
     paths: list[str] = []

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pledgemart import fixed_values as fv
 from pledgemart.functions import classify, pii, text as nlp, times
 from pledgemart.functions.casts import to_double
-from pledgemart.operators.conform import either_container, enforce_schema, first_present
+from pledgemart.operators.conform import either_container, enforce_schema, pick_first_present
 from pledgemart.operators.dedup import keep_last
 from pledgemart.registry import get_schema
 
@@ -28,37 +28,37 @@ class Settings:
     processed_at: Column | None = None
 
 
-def _all_fields(fields: dict[str, str]) -> dict[str, Column]:
-    return {name: first_present(candidates) for name, candidates in fields.items()}
+def _texts(fields: dict[str, str], *without: str) -> dict[str, Column]:
+    return {name: F.col(name) for name in fields if name not in without}
 
 
 def preorder(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = _all_fields(fv.PREORDER_FIELDS)
-    text["category_name"] = F.coalesce(text["category_name"], classify.category_name(text["category_code"]))
-    text["status_simplified"] = classify.status_name(text["status_simplified"])
-    text["biz_model"] = classify.biz_model_name(text["biz_model"])
     snapshot_ts = F.coalesce(
-        times.to_kst(text.pop("snapshot_ts")), times.kst_from_path(F.col("source_key"), dt), times.midnight(dt)
+        times.to_kst(F.col("snapshot_ts")), times.kst_from_path(F.col("source_key"), dt), times.midnight(dt)
     )
-    staged = records.select("*", snapshot_ts.alias("snapshot_ts"))
+    picked = pick_first_present(records, fv.PREORDER_FIELDS).withColumn("snapshot_ts", snapshot_ts)
+    text = _texts(fv.PREORDER_FIELDS, "snapshot_ts")
+    text["category_name"] = F.coalesce("category_name", classify.category_name(F.col("category_code")))
+    text["status_simplified"] = classify.status_name(F.col("status_simplified"))
+    text["biz_model"] = classify.biz_model_name(F.col("biz_model"))
     typed = {
         "snapshot_ts": F.col("snapshot_ts"),
         "snapshot_dt": F.coalesce(times.date_key(F.col("snapshot_ts")), F.lit(dt)),
     }
     return enforce_schema(
-        staged, get_schema("preorder"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("preorder"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
 def comments(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = _all_fields(fv.COMMENT_FIELDS)
-    comment_ts = times.to_kst(text.pop("comment_ts"))
-    author = pii.salted_hash(text.pop("author_id"), settings.hash_salt)
-    body = nlp.clean_text(text.pop("comment_body"))
-    staged = records.select("*", body.alias("body"), comment_ts.alias("comment_ts"))
-    staged = staged.withColumn("balance", nlp.sentiment_balance(F.col("body"), settings.lexicon))
+    picked = (
+        pick_first_present(records, fv.COMMENT_FIELDS)
+        .withColumn("body", nlp.clean_text(F.col("comment_body")))
+        .withColumn("comment_ts", times.to_kst(F.col("comment_ts")))
+        .withColumn("balance", nlp.sentiment_balance(F.col("body"), settings.lexicon))
+    )
     typed = {
-        "author_id_hash": author,
+        "author_id_hash": pii.salted_hash(F.col("author_id"), settings.hash_salt),
         "comment_ts": F.col("comment_ts"),
         "comment_date": times.date_key(F.col("comment_ts")),
         "comment_body_cleaned": F.col("body"),
@@ -68,99 +68,110 @@ def comments(records: DataFrame, dt: str, settings: Settings = Settings()) -> Da
         "sentiment_score": nlp.sentiment_score(F.col("balance")),
         "contains_question_mark": nlp.is_question(F.col("body")),
     }
+    text = _texts(fv.COMMENT_FIELDS, "author_id", "comment_ts", "comment_body")
     return enforce_schema(
-        staged, get_schema("comments"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("comments"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
 def supporter(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = {name: first_present(either_container(c)) for name, c in fv.SUPPORTER_FIELDS.items()}
-    user = pii.salted_hash(text.pop("user_id"), settings.hash_salt)
-    participated_at = F.coalesce(times.to_kst(text.pop("participated_at")), times.midnight(dt))
-    staged = records.select("*", participated_at.alias("participated_at"))
-    text["raw_support_type"] = text["supporter_type"]
+    participated_at = F.coalesce(times.to_kst(F.col("participated_at")), times.midnight(dt))
+    picked = pick_first_present(
+        records, {name: either_container(c) for name, c in fv.SUPPORTER_FIELDS.items()}
+    ).withColumn("participated_at", participated_at)
+    kind = F.col("supporter_type")
+    text = _texts(fv.SUPPORTER_FIELDS, "user_id", "participated_at")
+    text["raw_support_type"] = kind
     typed = {
-        "user_id_hash": user,
+        "user_id_hash": pii.salted_hash(F.col("user_id"), settings.hash_salt),
         "participated_at": F.col("participated_at"),
         "participated_date": times.date_key(F.col("participated_at")),
-        "is_purchaser": classify.is_purchaser(text["supporter_type"], text["backing_amount"]),
-        "is_signer": classify.is_signer(text["supporter_type"]),
+        "is_purchaser": classify.is_purchaser(kind, F.col("backing_amount")),
+        "is_signer": classify.is_signer(kind),
     }
     return enforce_schema(
-        staged, get_schema("supporter"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("supporter"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
+def _user_hash(settings: Settings) -> Column:
+    user_id = F.coalesce("user_id", pii.user_id_from_path(F.col("source_key")))
+    return pii.salted_hash(user_id, settings.hash_salt)
+
+
 def fundings(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = _all_fields(fv.FUNDING_FIELDS)
-    user_id = F.coalesce(text.pop("user_id"), pii.user_id_from_path(F.col("source_key")))
-    funded_at = F.coalesce(times.to_kst(text.pop("funded_at")), times.midnight(dt))
-    staged = records.select("*", funded_at.alias("funded_at"))
+    funded_at = F.coalesce(times.to_kst(F.col("funded_at")), times.midnight(dt))
+    picked = pick_first_present(records, fv.FUNDING_FIELDS).withColumn("funded_at", funded_at)
     typed = {
-        "user_id_hash": pii.salted_hash(user_id, settings.hash_salt),
-        "action_type": classify.action_type(text["product_type"]),
+        "user_id_hash": _user_hash(settings),
+        "action_type": classify.action_type(F.col("product_type")),
         "funded_at": F.col("funded_at"),
         "funded_date": times.date_key(F.col("funded_at")),
         "funded_hour": times.hour_of(F.col("funded_at")),
         "funded_dow": times.day_of_week(F.col("funded_at")),
-        "amount_tier": classify.amount_tier(to_double(text["amount"])),
+        "amount_tier": classify.amount_tier(to_double(F.col("amount"))),
     }
+    text = _texts(fv.FUNDING_FIELDS, "user_id", "funded_at")
     return enforce_schema(
-        staged, get_schema("fundings"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("fundings"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
-def _number(candidates: str) -> Column:
-    """A number where true and false count 1 and 0 only if written as JSON booleans."""
-    paths = candidates.split()
-    present = F.coalesce(
-        *[F.when(F.try_variant_get("record", f"$.{p}", "string").isNotNull(),
-                 F.try_variant_get("record", f"$.{p}", "variant")) for p in paths]
-    )
-    return F.coalesce(to_double(present.try_cast("string")), present.try_cast("double"))
+def _flag_text(candidates: str) -> Column:
+    """Text of the first present field, a JSON ``true`` or ``false`` reading as 1 or 0."""
+
+    def value(path: str) -> Column:
+        text = F.try_variant_get("record", f"$.{path}", "string")
+        number = F.try_variant_get("record", f"$.{path}", "double")
+        return F.when(text.isin("true", "false"), F.coalesce(number.cast("string"), text)).otherwise(text)
+
+    return F.coalesce(*[value(p) for p in candidates.split()])
 
 
 def wishes(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
     fields = dict(fv.WISH_FIELDS)
-    ended, remaining = _number(fields.pop("ended_flag")), _number(fields.pop("remaining_for_active"))
-    text = _all_fields(fields)
-    user_id = F.coalesce(text.pop("user_id"), pii.user_id_from_path(F.col("source_key")))
-    snapshot_at = F.coalesce(times.to_kst(text.pop("snapshot_at")), times.midnight(dt))
-    staged = records.select("*", snapshot_at.alias("snapshot_at"))
+    flags = [_flag_text(fields.pop(n)).alias(n) for n in ("ended_flag", "remaining_for_active")]
+    snapshot_at = F.coalesce(times.to_kst(F.col("snapshot_at")), times.midnight(dt))
+    picked = pick_first_present(records, fields, *flags).withColumn("snapshot_at", snapshot_at)
     snapshot_dt = F.coalesce(times.date_key(F.col("snapshot_at")), F.lit(dt))
     typed = {
-        "user_id_hash": pii.salted_hash(user_id, settings.hash_salt),
+        "user_id_hash": _user_hash(settings),
         "snapshot_at": F.col("snapshot_at"),
         "snapshot_dt": snapshot_dt,
         "wish_snapshot_date": snapshot_dt,
-        "is_active_at_snapshot": classify.wish_is_active(ended, remaining),
+        "is_active_at_snapshot": classify.wish_is_active(
+            to_double(F.col("ended_flag")), to_double(F.col("remaining_for_active"))
+        ),
     }
+    text = _texts(fields, "user_id", "snapshot_at")
     return enforce_schema(
-        staged, get_schema("wishes"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("wishes"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
 def user_info(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = _all_fields(fv.USER_INFO_FIELDS)
-    user_id = F.coalesce(text.pop("user_id"), pii.user_id_from_path(F.col("source_key")))
-    interests = classify.interest_count(text.pop("interests"))
+    picked = pick_first_present(records, fv.USER_INFO_FIELDS).withColumn(
+        "interest_count", classify.interest_count(F.col("interests"))
+    )
     typed = {
-        "user_id_hash": pii.salted_hash(user_id, settings.hash_salt),
-        "interest_count": interests,
-        "snapshot_dt": F.coalesce(times.date_key(times.to_kst(text.pop("collected_at"))), F.lit(dt)),
+        "user_id_hash": _user_hash(settings),
+        "interest_count": F.col("interest_count"),
+        "snapshot_dt": F.coalesce(times.date_key(times.to_kst(F.col("collected_at"))), F.lit(dt)),
         "user_segment": classify.user_segment(
-            to_double(text["total_funding_count"]), to_double(text["signature_count"]), interests
+            to_double(F.col("total_funding_count")), to_double(F.col("signature_count")), F.col("interest_count")
         ),
     }
+    text = _texts(fv.USER_INFO_FIELDS, "user_id", "interests", "collected_at")
     return enforce_schema(
-        records, get_schema("user_info"), dt, text=text, typed=typed, processed_at=settings.processed_at
+        picked, get_schema("user_info"), dt, text=text, typed=typed, processed_at=settings.processed_at
     )
 
 
 def detail(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
-    text = _all_fields(fv.DETAIL_FIELDS)
+    picked = pick_first_present(records, fv.DETAIL_FIELDS)
     return enforce_schema(
-        records, get_schema("detail"), dt, text=text, typed={}, processed_at=settings.processed_at
+        picked, get_schema("detail"), dt, text=_texts(fv.DETAIL_FIELDS), typed={},
+        processed_at=settings.processed_at,
     )
 
 

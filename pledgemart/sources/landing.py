@@ -60,16 +60,24 @@ def read_files(
     return whole.unionByName(lines)
 
 
-def _parse_one(text: Column) -> Column:
-    """VARIANT of a text that is exactly one JSON document, else NULL.
+def _as_items(text: Column) -> Column:
+    """The text as the items of a JSON list; NULL if that is not JSON.
 
-    Parsing stops silently after the first document, so the text is put into a list: a second
-    document or trailing junk then breaks the list or makes it longer.
+    Parsing stops silently after the first document. In a list, a second document or trailing
+    junk breaks the list or makes it longer, so only a list of one stands for a sound text.
     """
-    items = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
+    return F.try_parse_json(F.concat(F.lit("["), text, F.lit("]"))).try_cast("array<variant>")
+
+
+def _only(items: Column) -> Column:
     return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
 
 
+def _documents_of(texts: Column) -> Column:
+    """VARIANT per text, NULL where a text is not exactly one JSON document."""
+    return F.transform(F.transform(texts, _as_items), _only)
+
+
 def parse_documents(
     files: DataFrame, max_document_bytes: int = MAX_DOCUMENT_BYTES, keep_bad: bool = False
 ) -> DataFrame:
@@ -80,15 +88,16 @@ def parse_documents(
     by_line = F.col("block_start") >= 0
     text = strip(F.make_valid_utf8("text"))
     located = files.withColumn("text", text).where(F.col("text") != "")
-    parsed = located.withColumn(
-        "whole", F.when(~by_line | (F.octet_length("text") <= max_document_bytes), _parse_one(F.col("text")))
+    fits = ~by_line | (F.octet_length("text") <= max_document_bytes)
+    parsed = located.withColumn("items", F.when(fits, _as_items(F.col("text")))).withColumn(
+        "whole", _only(F.col("items"))
     )
     lines = F.filter(F.transform(F.split("text", r"\r\n|\n|\r"), strip), lambda line: line != "")
     units = (
         F.when(F.col("whole").isNotNull(), F.array(F.col("whole")))
         .when(by_line & (F.octet_length("text") > max_document_bytes), _oversized(F.col("text")))
         .when(by_line, F.array(_refuse_pretty_print(F.col("text"))))
-        .otherwise(F.transform(lines, _parse_one))
+        .otherwise(_documents_of(lines))
     )
     docs = parsed.select(
         "source_key", "path_rank", "block_start", "line_no",
@@ -103,7 +112,7 @@ def parse_documents(
 def _oversized(line: Column) -> Column:
     """A line too long for one VARIANT: the items of its list. Anything else is refused, not lost."""
     items = F.transform(
-        F.from_json(line, "array<string>"), lambda item: F.coalesce(_parse_one(item), item.cast("variant"))
+        F.from_json(line, "array<string>"), lambda item: F.coalesce(_only(_as_items(item)), item.cast("variant"))
     )
     refusal = F.raise_error(F.lit("a JSON object above the document size limit; land it as a list or as lines"))
     return F.when(line.startswith("[") & line.endswith("]"), items).otherwise(refusal.cast("array<variant>"))
