@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def _fixed(value: Column, pattern: str) -> Column:
+def fixed(value: Column, pattern: str) -> Column:
     # DecimalFormat rounds half to even on the exact binary value.
     return F.call_function("format_number", value, F.lit(pattern))
 
@@ -18,19 +18,19 @@ def _number_or_zero(value: Column) -> Column:
 def krw(value: Column) -> Column:
     v = _number_or_zero(value)
     return (
-        F.when(F.abs(v) >= 100_000_000, F.concat(_fixed(v / 100_000_000, "#,##0.0"), F.lit("억 원")))
-        .when(F.abs(v) >= 10_000, F.concat(_fixed(v / 10_000, "#,##0"), F.lit("만 원")))
-        .otherwise(F.concat(_fixed(v, "#,##0"), F.lit("원")))
+        F.when(F.abs(v) >= 100_000_000, F.concat(fixed(v / 100_000_000, "#,##0.0"), F.lit("억 원")))
+        .when(F.abs(v) >= 10_000, F.concat(fixed(v / 10_000, "#,##0"), F.lit("만 원")))
+        .otherwise(F.concat(fixed(v, "#,##0"), F.lit("원")))
     )
 
 
 def number(value: Column) -> Column:
-    return _fixed(_number_or_zero(value), "#,##0")
+    return fixed(_number_or_zero(value), "#,##0")
 
 
 def _percent_points(value: Column) -> Column:
     v = _number_or_zero(value)
-    return _fixed(F.when(F.abs(v) <= 1, v * 100).otherwise(v), "0.0")
+    return fixed(F.when(F.abs(v) <= 1, v * 100).otherwise(v), "0.0")
 
 
 def pct(value: Column) -> Column:

@@ -1,6 +1,6 @@
 """The given tables seen as daily tables, once as DataFrames and once as SQL.
 
-Money is cut to whole units, so that sums are exact in both engines.
+Money and rates are cut to whole units, so that sums are exact in both engines.
 """
 
 from __future__ import annotations
@@ -70,7 +70,7 @@ def preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.date_format("l_shipdate", "yyyyMMdd").alias("snapshot_dt"),
         F.col("l_shipdate").alias("snapshot_ts"),
         (key % 7 - 3).alias("remaining_day"),
-        (F.col("total").cast("double") * 100.0 / TARGET_AMOUNT).alias("achievement_rate"),
+        F.floor(F.col("total") * 100 / TARGET_AMOUNT).cast("double").alias("achievement_rate"),
         (F.col("total").cast("double") / TARGET_AMOUNT).alias("funding_ratio"),
         F.lit(TARGET_AMOUNT).cast("bigint").alias("target_amount"),
         F.col("total").alias("total_funding_amount"),
@@ -175,7 +175,7 @@ VIEW_SQL: dict[str, tuple[list[str], str]] = {
           r.l_shipdate - INTERVAL 7 DAY AS open_ts, r.l_shipdate + INTERVAL 7 DAY AS close_ts,
           strftime(r.l_shipdate, '%Y%m%d') AS snapshot_dt, r.l_shipdate AS snapshot_ts,
           r.l_suppkey % 7 - 3 AS remaining_day,
-          CAST(r.total AS DOUBLE) * CAST(100 AS DOUBLE) / CAST({TARGET_AMOUNT} AS DOUBLE) AS achievement_rate,
+          floor(CAST(r.total * 100 AS DOUBLE) / CAST({TARGET_AMOUNT} AS DOUBLE)) AS achievement_rate,
           CAST(r.total AS DOUBLE) / CAST({TARGET_AMOUNT} AS DOUBLE) AS funding_ratio,
           CAST({TARGET_AMOUNT} AS BIGINT) AS target_amount, r.total AS total_funding_amount,
           r.participation_cnt, r.signature_cnt,
