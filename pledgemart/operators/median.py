@@ -19,13 +19,15 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
         .groupBy(F.col(group).alias("g"), F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    bounds = counts.groupBy("g").agg(F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total"))
+    bounds = counts.groupBy(F.col("g").alias("of")).agg(
+        F.min("v").alias("lo"), F.max("v").alias("hi"), F.sum("n").alias("total")
+    )
     span = F.col("hi") - F.col("lo")
     place = F.when(span == 0, 0).otherwise(
         F.least(F.floor((F.col("v") - F.col("lo")) / F.when(span != 0, span) * _BUCKETS), F.lit(_BUCKETS - 1))
     )
-    placed = counts.join(bounds, F.equal_null(counts["g"], bounds["g"])).select(
-        counts["g"].alias("g"), "v", "n", "total", place.cast("int").alias("b")
+    placed = counts.join(bounds, F.equal_null("g", "of")).select(
+        "g", "v", "n", "total", place.cast("int").alias("b")
     )
     histogram = placed.groupBy("g", "b").agg(F.sum("n").alias("in_bucket"), F.max("total").alias("total"))
     before = Window.partitionBy("g").orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
@@ -36,9 +38,7 @@ def exact_median(df: DataFrame, group: str, value: str, name: str) -> DataFrame:
         .where((F.col("skipped") < high_rank) & (F.col("skipped") + F.col("in_bucket") >= low_rank))
         .select(F.col("g").alias("mg"), F.col("b").alias("mb"), "skipped")
     )
-    kept = placed.join(
-        middle, F.equal_null(placed["g"], middle["mg"]) & (placed["b"] == middle["mb"])
-    )
+    kept = placed.join(middle, F.equal_null("g", "mg") & (F.col("b") == F.col("mb")))
     within = Window.partitionBy("g", "b").orderBy("v")
     ranked = kept.withColumn("upto", F.col("skipped") + F.sum("n").over(within))
     holds = lambda rank: (F.col("upto") >= rank) & (F.col("upto") - F.col("n") < rank)
