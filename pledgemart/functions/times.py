@@ -83,8 +83,12 @@ def now_kst() -> Column:
     return utc_to_kst(F.current_timestamp().cast("timestamp_ntz"))
 
 
+def wall_time(at: datetime) -> Column:
+    return F.lit(at.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def midnight(dt: str) -> Column:
-    return F.lit(datetime.strptime(dt, "%Y%m%d").isoformat(sep=" ")).cast("timestamp_ntz")
+    return wall_time(datetime.strptime(dt, "%Y%m%d"))
 
 
 def kst_from_path(source_key: Column, dt: str) -> Column:

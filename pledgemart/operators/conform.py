@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pledgemart.functions.casts import cast_text, fill_missing
-from pledgemart.functions.times import normalize_dt, now_kst
+from pledgemart.functions.times import normalize_dt, now_kst, wall_time
 from pledgemart.registry import TableSchema
 
 PARENT = "_parent_"
@@ -104,7 +105,7 @@ def enforce_schema(
     *,
     text: Mapping[str, Column],
     typed: Mapping[str, Column],
-    processed_at: Column | None = None,
+    processed_at: datetime | None = None,
 ) -> DataFrame:
     """One projection to the table's columns and types, keeping ``read_order`` for the dedup.
 
@@ -112,7 +113,7 @@ def enforce_schema(
     first: a missing value is filled, a present but unreadable one becomes NULL.
     """
     typed = {
-        "silver_processed_at": processed_at if processed_at is not None else now_kst(),
+        "silver_processed_at": now_kst() if processed_at is None else wall_time(processed_at),
         "dt": F.lit(normalize_dt(dt)),
         **typed,
     }

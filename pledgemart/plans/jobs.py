@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
@@ -67,7 +68,7 @@ def run_silver(
     error_base: str,
     hash_salt: str = "",
     lexicon: Lexicon = DEFAULT_LEXICON,
-    processed_at: Column | None = None,
+    processed_at: datetime | None = None,
     dry_run: bool = False,
     allow_empty: bool = False,
     write_errors: bool = True,

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -25,7 +26,7 @@ class Settings:
 
     hash_salt: str = ""
     lexicon: nlp.Lexicon = field(default_factory=lambda: nlp.DEFAULT_LEXICON)
-    processed_at: Column | None = None
+    processed_at: datetime | None = None
 
 
 def _texts(fields: dict[str, str], *without: str) -> dict[str, Column]:

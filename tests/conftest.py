@@ -19,6 +19,9 @@ def spark(tmp_path_factory):
             "spark.master": "local[8]",
             "spark.sql.shuffle.partitions": "8",
             "spark.ui.enabled": "false",
+            # On a handful of rows compiling costs far more than it saves.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "6g",
             "spark.sql.warehouse.dir": str(work / "warehouse"),
