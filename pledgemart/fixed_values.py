@@ -229,6 +229,8 @@ DETAIL_FIELDS = {
 
 # Wrapper fields that may hold the list of records, in lookup order.
 WRAPPER_LIST_FIELDS = "data items content result results fundings wishes".split()
+TABLES_OF_WRAPPERS = ("fundings", "wishes")
+PARENT_FIELDS = ("user_id", "collected_at")
 SEED_LIST_FIELDS = "records data rows items content projectList".split()
 
 # Id field names for seeding, in lookup order.

@@ -38,8 +38,15 @@ def first_present(candidates: str | Iterable[str], default: str | None = None, *
     return F.coalesce(*values)
 
 
-def _shape(paths: Iterable[str]) -> tuple[T.StructType, T.StructType, dict[str, str]]:
-    """Nested struct of the paths, the same with numbered names, and where each path is in it."""
+def read_fields(
+    df: DataFrame, paths: Iterable[str], *keep: str | Column, record: str = "record", leaf: T.DataType = T.StringType()
+) -> tuple[DataFrame, dict[str, str]]:
+    """Add a ``fields`` column with many fields of a record, and tell where each path is in it.
+
+    The record is cast to a struct of all wanted fields at once: looking each field up on its
+    own would scan the record once per field. Numbered names keep ``campaignId`` and
+    ``campaignid`` apart.
+    """
     tree: dict = {}
     for path in paths:
         node = tree
@@ -54,14 +61,14 @@ def _shape(paths: Iterable[str]) -> tuple[T.StructType, T.StructType, dict[str,
             if inner:
                 a, b = build(inner, f"{path}.", at)
             else:
-                a = b = T.StringType()
+                a = b = leaf
                 places[path] = at
             named.add(step, a)
             numbered.add(f"f{i}", b)
         return named, numbered
 
     named, numbered = build(tree, "", "fields")
-    return named, numbered, places
+    return df.select(F.col(record).try_cast(named).cast(numbered).alias("fields"), *keep), places
 
 
 def pick_first_present(
@@ -69,19 +76,15 @@ def pick_first_present(
 ) -> DataFrame:
     """``first_present`` for many columns with one pass over each record.
 
-    The record is cast to a struct of all wanted fields at once: looking each field up on its
-    own would scan the record once per candidate. Numbered names keep ``campaignId`` and
-    ``campaignid`` apart. Casts refer to a text several times, so the texts get a projection of
-    their own, and the record itself goes no further.
+    Casts refer to a text several times, so the texts get a projection of their own, and the
+    record itself goes no further.
     """
     lists = {n: c.split() if isinstance(c, str) else list(c) for n, c in candidates.items()}
-    named, numbered, places = _shape(p for paths in lists.values() for p in paths)
-    staged = records.select(
-        F.col("record").try_cast(named).cast(numbered).alias("fields"), "parent", "source_key", READ_ORDER, *extra
-    )
+    paths = [p for wanted in lists.values() for p in wanted]
+    staged, places = read_fields(records, paths, "parent", "source_key", READ_ORDER, *extra)
     columns = [
-        F.coalesce(*[_or_parent(p, F.col(places[p]), "parent") for p in paths]).alias(name)
-        for name, paths in lists.items()
+        F.coalesce(*[_or_parent(p, F.col(places[p]), "parent") for p in wanted]).alias(name)
+        for name, wanted in lists.items()
     ]
     kept = [c for c in staged.columns if c not in ("fields", "parent")]
     return staged.select(*columns, *kept)

@@ -28,10 +28,15 @@ def lacks_required_key(df: DataFrame, schema: TableSchema) -> Column:
     return reduce(or_, tests, F.lit(False))
 
 
+def with_error_reason(df: DataFrame, schema: TableSchema) -> DataFrame:
+    """Add the reason a row is set aside for; NULL for a valid row."""
+    return df.withColumn(ERROR_REASON, F.when(lacks_required_key(df, schema), F.lit(MISSING_KEY)))
+
+
 def split_valid_and_error(df: DataFrame, schema: TableSchema) -> tuple[DataFrame, DataFrame]:
-    invalid = lacks_required_key(df, schema)
-    errors = df.where(invalid).withColumn(ERROR_REASON, F.lit(MISSING_KEY))
-    return df.where(~invalid), errors
+    marked = with_error_reason(df, schema)
+    reason = F.col(ERROR_REASON)
+    return marked.where(reason.isNull()).drop(ERROR_REASON), marked.where(reason.isNotNull())
 
 
 def validation_metrics(df: DataFrame, schema: TableSchema) -> list[Column]:

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pledgemart.operators.quality import quality_metrics, split_valid_and_error
+from pledgemart.operators.quality import quality_metrics, with_error_reason
 from pledgemart.plans import silver
 from pledgemart.queries.views import LEXICON, SALT, read, whole
 from pledgemart.registry import get_schema
@@ -27,10 +27,8 @@ def _key(prefix: str, number: F.Column, hour: int = 3) -> F.Column:
     return F.concat(F.lit(f"landing/{prefix}/dt={DT}/hour={hour:02d}/part_"), padded, F.lit(".json"))
 
 
-def _records(files: DataFrame, unwrap_items: bool = False) -> DataFrame:
-    return landing.unwrap_records(
-        landing.parse_documents(landing.with_file_position(files)), unwrap_items=unwrap_items
-    )
+def _records(files: DataFrame, table: str) -> DataFrame:
+    return landing.records_of_table(landing.parse_documents(landing.with_file_position(files)), table)
 
 
 def _iso(ts: F.Column) -> F.Column:
@@ -65,7 +63,7 @@ def _funding_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def envelope_unwrap(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_funding_files(spark, sf_dir), unwrap_items=True)
+    records = _records(_funding_files(spark, sf_dir), "fundings")
     return records.select(
         F.try_element_at("parent", F.lit("user_id")).cast("bigint").alias("parent_user_id"),
         F.try_element_at("parent", F.lit("collected_at")).alias("parent_collected_at"),
@@ -94,7 +92,7 @@ def _without_run_time(df: DataFrame) -> DataFrame:
 
 
 def fundings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_funding_files(spark, sf_dir), unwrap_items=True)
+    records = _records(_funding_files(spark, sf_dir), "fundings")
     return _without_run_time(silver.build_table(records, "fundings", DT, SETTINGS))
 
 
@@ -112,7 +110,7 @@ _FUNDINGS_SQL = f"""
 
 
 def wishes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_funding_files(spark, sf_dir), unwrap_items=True)
+    records = _records(_funding_files(spark, sf_dir), "fundings")
     return _without_run_time(silver.build_table(records, "wishes", DT, SETTINGS))
 
 
@@ -163,7 +161,7 @@ def _preorder_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_preorder_files(spark, sf_dir))
+    records = _records(_preorder_files(spark, sf_dir), "preorder")
     return _without_run_time(silver.build_table(records, "preorder", DT, SETTINGS))
 
 
@@ -210,7 +208,7 @@ def _comment_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_comment_files(spark, sf_dir))
+    records = _records(_comment_files(spark, sf_dir), "comments")
     return _without_run_time(silver.build_table(records, "comments", DT, SETTINGS))
 
 
@@ -254,7 +252,7 @@ def _supporter_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def supporter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_supporter_files(spark, sf_dir))
+    records = _records(_supporter_files(spark, sf_dir), "supporter")
     return _without_run_time(silver.build_table(records, "supporter", DT, SETTINGS))
 
 
@@ -278,10 +276,8 @@ _SUPPORTER_SQL = f"""
 def valid_error_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Supporter rows by outcome: users whose id was missing go to the error side."""
     schema = get_schema("supporter")
-    table = silver.build_table(_records(_supporter_files(spark, sf_dir)), "supporter", DT, SETTINGS)
-    valid, errors = split_valid_and_error(table, schema)
-    both = valid.withColumn("_silver_error_reason", F.lit(None).cast("string")).unionByName(errors)
-    return both.groupBy("campaign_id", "_silver_error_reason").agg(
+    table = silver.build_table(_records(_supporter_files(spark, sf_dir), "supporter"), "supporter", DT, SETTINGS)
+    return with_error_reason(table, schema).groupBy("campaign_id", "_silver_error_reason").agg(
         F.count(F.lit(1)).alias("row_cnt"), F.sum("backing_amount").alias("amount")
     )
 
@@ -293,7 +289,7 @@ _SPLIT_SQL = f"""
 
 
 def table_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_supporter_files(spark, sf_dir))
+    records = _records(_supporter_files(spark, sf_dir), "supporter")
     conformed = silver.supporter(records, DT, SETTINGS)
     return quality_metrics(conformed, get_schema("supporter")).drop("null_silver_processed_at")
 
@@ -328,7 +324,7 @@ def _user_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def user_info(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_user_files(spark, sf_dir))
+    records = _records(_user_files(spark, sf_dir), "user_info")
     return _without_run_time(silver.build_table(records, "user_info", DT, SETTINGS))
 
 
@@ -358,7 +354,7 @@ def _detail_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = _records(_detail_files(spark, sf_dir))
+    records = _records(_detail_files(spark, sf_dir), "detail")
     return _without_run_time(silver.build_table(records, "detail", DT, SETTINGS))
 
 

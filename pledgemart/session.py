@@ -13,6 +13,8 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
+    # Recording the Python line of every column takes a fifth of the time to build these wide plans.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -8,6 +8,8 @@ relies on it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -87,7 +89,7 @@ def parse_documents(
     """
     by_line = F.col("block_start") >= 0
     text = strip(F.make_valid_utf8("text"))
-    located = files.withColumn("text", text).where(F.col("text") != "")
+    located = files.withColumn("text", text)
     fits = ~by_line | (F.octet_length("text") <= max_document_bytes)
     parsed = located.withColumn("items", F.when(fits, _as_items(F.col("text")))).withColumn(
         "whole", _only(F.col("items"))
@@ -95,6 +97,7 @@ def parse_documents(
     lines = F.filter(F.transform(F.split("text", r"\r\n|\n|\r"), strip), lambda line: line != "")
     units = (
         F.when(F.col("whole").isNotNull(), F.array(F.col("whole")))
+        .when(F.col("text") == "", F.array().cast("array<variant>"))
         .when(by_line & (F.octet_length("text") > max_document_bytes), _oversized(F.col("text")))
         .when(by_line, F.array(_refuse_pretty_print(F.col("text"))))
         .otherwise(_documents_of(lines))
@@ -127,22 +130,31 @@ def _wrapped_list(item: str, fields: list[str]) -> Column:
     return F.coalesce(*[F.try_variant_get(item, f"$.{f}", "array<variant>") for f in fields])
 
 
-def _scalars(item: Column) -> Column:
-    """The scalar fields of an object as text."""
-    fields = item.try_cast("map<string,variant>")
-    flat = F.map_filter(
-        fields,
-        lambda _, v: v.try_cast("array<variant>").isNull() & v.try_cast("map<string,variant>").isNull(),
-    )
-    return F.transform_values(flat, lambda _, v: v.try_cast("string"))
+def _is_nested(value: Column) -> Column:
+    return value.try_cast("array<variant>").isNotNull() | value.try_cast("struct<x:string>").isNotNull()
+
+
+def _scalars(item: Column, fields: Sequence[str] | None) -> Column:
+    """The scalar fields of an object as text: the named ones, or all of them."""
+    if fields is None:
+        flat = F.map_filter(item.try_cast("map<string,variant>"), lambda _, v: ~_is_nested(v))
+        return F.transform_values(flat, lambda _, v: v.try_cast("string"))
+    pairs = []
+    for name in fields:
+        value = F.try_variant_get(item, f"$.{name}", "variant")
+        pairs += [F.lit(name), F.when(~_is_nested(value), value.try_cast("string"))]
+    return F.create_map(*pairs)
 
 
-def unwrap_records(docs: DataFrame, *, unwrap_items: bool = False) -> DataFrame:
+def unwrap_records(
+    docs: DataFrame, *, unwrap_items: bool = False, parent_fields: Sequence[str] | None = None
+) -> DataFrame:
     """Documents to records.
 
     A list gives its items. An object gives the items of its first wrapper field that holds a
     list, each with the object's scalars as ``parent``; else the object itself. A scalar becomes
     ``{"raw_value": x}``. With ``unwrap_items`` the objects inside a list are unwrapped too.
+    ``parent_fields`` limits the context to the scalars a table reads.
     """
     items = docs.withColumn("items", F.when(~F.col("in_list"), F.col("doc").try_cast("array<variant>")))
     items = items.select(
@@ -156,7 +168,7 @@ def unwrap_records(docs: DataFrame, *, unwrap_items: bool = False) -> DataFrame:
     items = items.withColumn("children", wrapped)
     records = items.select(
         "source_key", "padded",
-        F.when(F.col("children").isNotNull(), _scalars(F.col("item"))).alias("parent"),
+        F.when(F.col("children").isNotNull(), _scalars(F.col("item"), parent_fields)).alias("parent"),
         F.struct("path_rank", "source_key", "block_start", "line_no", "unit", "item_no").alias("place"),
         F.posexplode(F.coalesce("children", F.array("item"))).alias("child_no", "value"),
     )
@@ -184,7 +196,14 @@ def with_file_position(df: DataFrame) -> DataFrame:
 def read_records(spark: SparkSession, base: str, table: str, dt: str, **limits: int) -> DataFrame:
     """Records of one landed table and day."""
     docs = parse_documents(read_files(spark, base, table, dt, **limits), **limits)
-    return unwrap_records(docs, unwrap_items=table in ("fundings", "wishes"))
+    return records_of_table(docs, table)
+
+
+def records_of_table(docs: DataFrame, table: str) -> DataFrame:
+    """Records with the unwrapping and the parent context the table's transform expects."""
+    return unwrap_records(
+        docs, unwrap_items=table in fv.TABLES_OF_WRAPPERS, parent_fields=fv.PARENT_FIELDS
+    )
 
 
 def count_bad_lines(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:

@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pledgemart import fixed_values as fv
-from pledgemart.functions.casts import blank_to_null, strip
+from pledgemart.functions.casts import strip
 from pledgemart.functions.times import normalize_dt
+from pledgemart.operators.conform import read_fields
 from pledgemart.sources.landing import _as_items, _only, _wrapped_list
 
 
@@ -47,46 +48,41 @@ def seed_rows(payloads: DataFrame) -> DataFrame:
     return rows.where(F.col("row").try_cast("struct<id:string>").isNotNull())
 
 
-def _is_filled(field: str) -> Column:
-    text = F.try_variant_get("row", f"$.{field}", "string")
-    return text.isNotNull() & ~text.isin("", "0", "false", "{}", "[]")
-
-
-def campaign_id(row: str = "row") -> Column:
-    """First id field that reads as a whole number, on the row or in the container it carries."""
-
-    def within(prefix: str) -> Column:
-        paths = [f"{prefix}.{f}" for f in fv.SEED_CAMPAIGN_ID_FIELDS]
-        return F.coalesce(*[F.try_variant_get(row, p, "bigint") for p in paths])
+def seed_campaign_ids(rows: DataFrame) -> DataFrame:
+    """Distinct ids in order: of each row the first id field that reads as a whole number.
 
-    nested = (
-        F.when(_is_filled("raw"), within("$.raw"))
-        .when(_is_filled("raw_text"), within("$.raw_text"))
-        .otherwise(within("$.data"))
+    The row's own fields come first, then those of the first of ``raw``, ``raw_text`` and
+    ``data`` that holds anything.
+    """
+    containers = ("raw", "raw_text", "data")
+    nested = [f"{c}.{f}" for c in containers for f in fv.SEED_CAMPAIGN_ID_FIELDS]
+    held = [F.try_variant_get("row", f"$.{c}", "string").alias(c) for c in containers[:2]]
+    fields, places = read_fields(
+        rows, [*fv.SEED_CAMPAIGN_ID_FIELDS, *nested], *held, record="row", leaf=T.LongType()
     )
-    return F.coalesce(within("$"), nested)
-
 
-def user_id(row: str = "row") -> Column:
-    """First usable user id: in ``raw_text``, ``raw``, ``data``, then on the row."""
-    paths = [f"$.{c}.{f}" for c in ("raw_text", "raw", "data") for f in fv.SEED_USER_ID_FIELDS_NESTED]
-    paths += [f"$.{f}" for f in fv.SEED_USER_ID_FIELDS_TOP]
-
-    def usable(path: str) -> Column:
-        value = blank_to_null(F.try_variant_get(row, path, "string"))
-        return F.when(~F.lower(value).isin(fv.NOT_A_USER_ID), value)
-
-    return F.coalesce(*[usable(p) for p in paths])
+    def within(prefix: str) -> Column:
+        return F.coalesce(*[F.col(places[f"{prefix}{f}"]) for f in fv.SEED_CAMPAIGN_ID_FIELDS])
 
+    def is_filled(container: str) -> Column:
+        return F.col(container).isNotNull() & ~F.col(container).isin("", "0", "false", "{}", "[]")
 
-def seed_campaign_ids(rows: DataFrame) -> DataFrame:
-    ids = rows.select(campaign_id().alias("campaign_id")).where(F.col("campaign_id").isNotNull())
-    return ids.distinct().orderBy("campaign_id")
+    inner = F.when(is_filled("raw"), within("raw.")).when(is_filled("raw_text"), within("raw_text."))
+    ids = fields.select(F.coalesce(within(""), inner.otherwise(within("data."))).alias("campaign_id"))
+    return ids.where(F.col("campaign_id").isNotNull()).distinct().orderBy("campaign_id")
 
 
 def seed_user_ids(rows: DataFrame, cap: int | None = fv.SEED_USER_CAP) -> DataFrame:
-    """Distinct user ids in order; the cap keeps the first ones in that order."""
-    ids = rows.select(user_id().alias("user_id")).where(F.col("user_id").isNotNull())
+    """Distinct user ids in order; the cap keeps the first ones in that order.
+
+    Of each row the first usable id counts: in ``raw_text``, ``raw``, ``data``, then on the row.
+    """
+    paths = [f"{c}.{f}" for c in ("raw_text", "raw", "data") for f in fv.SEED_USER_ID_FIELDS_NESTED]
+    paths += fv.SEED_USER_ID_FIELDS_TOP
+    fields, places = read_fields(rows, paths, record="row")
+    values = F.transform(F.array(*[F.col(places[p]) for p in paths]), strip)
+    usable = F.filter(values, lambda v: ~F.lower(v).isin("", *fv.NOT_A_USER_ID))
+    ids = fields.select(F.get(usable, F.lit(0)).alias("user_id")).where(F.col("user_id").isNotNull())
     ids = ids.distinct().orderBy("user_id")
     return ids if cap is None else ids.limit(cap)
 
