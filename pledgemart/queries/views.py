@@ -87,7 +87,10 @@ def preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    # Hashed per order, before the join multiplies the rows.
+    orders = read(spark, sf_dir, "orders").select(
+        "o_orderkey", user_hash(F.col("o_custkey")).alias("user_id_hash")
+    )
     return read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
 
@@ -96,7 +99,7 @@ def supporter(spark: SparkSession, sf_dir: str) -> DataFrame:
     kind = F.when(flag == "R", "signature").when(flag == "A", "purchase").otherwise("view")
     amount = F.when(flag == "A", whole(F.col("l_extendedprice"))).otherwise(F.lit(0).cast("bigint"))
     return _order_lines(spark, sf_dir).select(
-        user_hash(F.col("o_custkey")).alias("user_id_hash"),
+        "user_id_hash",
         F.col("l_suppkey").alias("campaign_id"),
         kind.alias("supporter_type"),
         amount.alias("backing_amount"),
@@ -109,7 +112,7 @@ def supporter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fundings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _order_lines(spark, sf_dir).where(F.col("l_linestatus") == "F").select(
-        user_hash(F.col("o_custkey")).alias("user_id_hash"),
+        "user_id_hash",
         F.col("l_suppkey").alias("campaign_id"),
         whole(F.col("l_extendedprice")).alias("amount"),
         F.col("l_shipdate").alias("funded_at"),
