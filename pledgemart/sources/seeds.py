@@ -37,15 +37,16 @@ def read_payloads(
 def seed_rows(payloads: DataFrame) -> DataFrame:
     """Objects of each payload: of a list, of the first known list field, else the object itself.
 
-    A payload that is not exactly one JSON document is skipped.
+    A payload that is not exactly one JSON document is skipped. Rows are left out by exploding
+    what remains: a filter would be pushed below the parsing and repeat it.
     """
     docs = payloads.select(_as_items(strip(F.make_valid_utf8("text"))).alias("items"))
     docs = docs.select(_only(F.col("items")).alias("doc"))
     rows = F.coalesce(
         F.col("doc").try_cast("array<variant>"), _wrapped_list("doc", fv.SEED_LIST_FIELDS), F.array("doc")
     )
-    rows = docs.where(F.col("doc").isNotNull()).select(F.explode(rows).alias("row"))
-    return rows.where(F.col("row").try_cast("struct<id:string>").isNotNull())
+    objects = F.filter(rows, lambda row: row.try_cast("struct<id:string>").isNotNull())
+    return docs.select(F.explode(objects).alias("row"))
 
 
 def seed_campaign_ids(rows: DataFrame) -> DataFrame:
@@ -68,8 +69,9 @@ def seed_campaign_ids(rows: DataFrame) -> DataFrame:
         return F.col(container).isNotNull() & ~F.col(container).isin("", "0", "false", "{}", "[]")
 
     inner = F.when(is_filled("raw"), within("raw.")).when(is_filled("raw_text"), within("raw_text."))
-    ids = fields.select(F.coalesce(within(""), inner.otherwise(within("data."))).alias("campaign_id"))
-    return ids.where(F.col("campaign_id").isNotNull()).distinct().orderBy("campaign_id")
+    first = F.coalesce(within(""), inner.otherwise(within("data.")))
+    ids = fields.select(F.explode(F.array_compact(F.array(first))).alias("campaign_id"))
+    return ids.distinct().orderBy("campaign_id")
 
 
 def seed_user_ids(rows: DataFrame, cap: int | None = fv.SEED_USER_CAP) -> DataFrame:
@@ -82,7 +84,7 @@ def seed_user_ids(rows: DataFrame, cap: int | None = fv.SEED_USER_CAP) -> DataFr
     fields, places = read_fields(rows, paths, record="row")
     values = F.transform(F.array(*[F.col(places[p]) for p in paths]), strip)
     usable = F.filter(values, lambda v: ~F.lower(v).isin("", *fv.NOT_A_USER_ID))
-    ids = fields.select(F.get(usable, F.lit(0)).alias("user_id")).where(F.col("user_id").isNotNull())
+    ids = fields.select(F.explode(F.slice(usable, 1, 1)).alias("user_id"))
     ids = ids.distinct().orderBy("user_id")
     return ids if cap is None else ids.limit(cap)
 
