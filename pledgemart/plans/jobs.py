@@ -76,7 +76,9 @@ def run_silver(
     """Read one landed day, build its table, set rows without keys aside, replace the partitions.
 
     The landed files are parsed once. The result goes to an intermediate table, which survives
-    lost executors and feeds both writes; the metrics are taken along in that same job.
+    lost executors and feeds both writes; the metrics are taken along in that same job. Of them
+    ``read_rows``, ``duplicate_rows`` and ``keyless_rows_before_dedup`` may count rows of a
+    repeated task twice; ``operators.quality.quality_metrics`` gives exact ones.
     """
     configure(spark)
     require_utc(spark)

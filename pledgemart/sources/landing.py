@@ -88,23 +88,23 @@ def parse_documents(
     Blank lines are skipped and unreadable lines dropped, or kept with a NULL ``doc`` on request.
     """
     by_line = F.col("block_start") >= 0
-    text = strip(F.make_valid_utf8("text"))
-    located = files.withColumn("text", text)
+    located = files.withColumn("text", F.make_valid_utf8("text"))
     fits = ~by_line | (F.octet_length("text") <= max_document_bytes)
     parsed = located.withColumn("items", F.when(fits, _as_items(F.col("text")))).withColumn(
         "whole", _only(F.col("items"))
     )
-    lines = F.filter(F.transform(F.split("text", r"\r\n|\n|\r"), strip), lambda line: line != "")
+    # Spaces around a document are left to the parser: trimming a large text is costly.
+    lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda line: line.rlike(r"\S"))
     units = (
         F.when(F.col("whole").isNotNull(), F.array(F.col("whole")))
-        .when(F.col("text") == "", F.array().cast("array<variant>"))
-        .when(by_line & (F.octet_length("text") > max_document_bytes), _oversized(F.col("text")))
-        .when(by_line, F.array(_refuse_pretty_print(F.col("text"))))
+        .when(by_line & ~F.col("text").rlike(r"\S"), F.array().cast("array<variant>"))
+        .when(~fits, _oversized(F.trim("text")))
+        .when(by_line, F.array(_refuse_pretty_print(F.trim("text"))))
         .otherwise(_documents_of(lines))
     )
     docs = parsed.select(
         "source_key", "path_rank", "block_start", "line_no",
-        (by_line & (F.octet_length("text") > max_document_bytes)).alias("in_list"),
+        (~fits).alias("in_list"),
         # A field name with spaces around it is rare, and worth a rewrite only where one may occur.
         F.col("text").rlike(r'\s"\s*:|"\s[^"]*"\s*:').alias("padded"),
         F.posexplode(units).alias("unit", "doc"),

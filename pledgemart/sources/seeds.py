@@ -40,7 +40,7 @@ def seed_rows(payloads: DataFrame) -> DataFrame:
     A payload that is not exactly one JSON document is skipped. Rows are left out by exploding
     what remains: a filter would be pushed below the parsing and repeat it.
     """
-    docs = payloads.select(_as_items(strip(F.make_valid_utf8("text"))).alias("items"))
+    docs = payloads.select(_as_items(F.make_valid_utf8("text")).alias("items"))
     docs = docs.select(_only(F.col("items")).alias("doc"))
     rows = F.coalesce(
         F.col("doc").try_cast("array<variant>"), _wrapped_list("doc", fv.SEED_LIST_FIELDS), F.array("doc")
