@@ -242,7 +242,6 @@ SEED_USER_ID_FIELDS_TOP = (
     "encUserId user_id userId enc_user_id supporterId supporter_id memberId member_id".split()
 )
 NOT_A_USER_ID = "none null nan".split()
-SEED_USER_CAP = 500
 
 # Patterns.
 USER_ID_IN_PATH = r"user_id=([^/]+?)\.json"

@@ -424,9 +424,7 @@ def user_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seeds.seed_user_ids(rows)
 
 
-_USER_IDS_SQL = """
-    SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id FROM orders WHERE o_custkey % 4 < 3
-    ORDER BY user_id LIMIT 500"""
+_USER_IDS_SQL = "SELECT DISTINCT CAST(o_custkey AS VARCHAR) AS user_id FROM orders WHERE o_custkey % 4 < 3"
 
 QUERIES = {
     "src_envelope_unwrap": envelope_unwrap,

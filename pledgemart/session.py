@@ -13,14 +13,17 @@ SQL_SETTINGS = {
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
     "spark.sql.variant.allowDuplicateKeys": "true",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
-    # Recording the Python line of every column takes a fifth of the time to build these wide plans.
-    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
+# Fixed once a session runs, so only a session started here gets it: recording the Python line
+# of every column takes a fifth of the time to build these wide plans.
+START_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
+    """Put the settings on any session, also one that the library did not start."""
     for key, value in SQL_SETTINGS.items():
-        if spark.conf.get(key, None) != value:
+        if spark.conf.get(key, None) != value and spark.conf.isModifiable(key):
             spark.conf.set(key, value)
     return spark
 
@@ -28,7 +31,7 @@ def configure(spark: SparkSession) -> SparkSession:
 def build_session(app_name: str = "pledgemart", **settings: str) -> SparkSession:
     """A session with the library's settings; cluster sizing stays with the submitter."""
     builder = SparkSession.builder.appName(app_name)
-    for key, value in {**SQL_SETTINGS, **settings}.items():
+    for key, value in {**SQL_SETTINGS, **START_SETTINGS, **settings}.items():
         builder = builder.config(key, value)
     return configure(builder.getOrCreate())
 

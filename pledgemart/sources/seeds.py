@@ -12,21 +12,12 @@ from pledgemart.operators.conform import read_fields
 from pledgemart.sources.landing import _as_items, _only, _wrapped_list
 
 
-def read_payloads(
-    spark: SparkSession, base: str, table: str, dt: str, max_files: int | None = None
-) -> DataFrame:
-    """Text of the day's ``.json`` files; with ``max_files`` only the first ones by path."""
+def read_payloads(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
+    """Text of all of the day's ``.json`` files."""
     root = f"{base.rstrip('/')}/{table}/dt={normalize_dt(dt)}"
     options = {"pathGlobFilter": "*.json", "recursiveFileLookup": True}
     try:
-        if max_files is None:
-            files = spark.read.options(**options).text(root, wholetext=True)
-        else:
-            listing = spark.read.format("binaryFile").options(**options).load(root)
-            first = listing.select("path").orderBy("path").limit(max_files).collect()
-            if not first:
-                return spark.createDataFrame([], "text string")
-            files = spark.read.text([row.path for row in first], wholetext=True)
+        files = spark.read.options(**options).text(root, wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
@@ -74,8 +65,8 @@ def seed_campaign_ids(rows: DataFrame) -> DataFrame:
     return ids.distinct().orderBy("campaign_id")
 
 
-def seed_user_ids(rows: DataFrame, cap: int | None = fv.SEED_USER_CAP) -> DataFrame:
-    """Distinct user ids in order; the cap keeps the first ones in that order.
+def seed_user_ids(rows: DataFrame, cap: int | None = None) -> DataFrame:
+    """Distinct user ids in order, all of them; a cap, if asked for, keeps the first ones in that order.
 
     Of each row the first usable id counts: in ``raw_text``, ``raw``, ``data``, then on the row.
     """

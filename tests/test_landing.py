@@ -150,7 +150,6 @@ def test_seed_campaign_ids(spark, land):
         ).collect()
     ]
     assert ids() == [3, 4, 7, 12]
-    assert ids(max_files=1) == [7, 12]
 
 
 def test_seed_user_ids_order_placeholders_and_cap(spark, land):
