@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import simhash
+from pledgemart.llm import bpe, decontam, simhash
+
+RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -15,13 +18,64 @@ def hex64(value: Column) -> Column:
     return F.lpad(F.lower(F.hex(value)), 16, "0")
 
 
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontam.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).per_document()
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated",
+    )
+
+
+_OP1_SQL = r"""
+WITH words AS (
+    SELECT 'd' AS kind, doc_id AS id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents
+    UNION ALL
+    SELECT 'b', item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+        'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') FROM benchmark
+), item_windows AS (
+    SELECT DISTINCT id AS item_id, least(len(w), 10) AS n, list_slice(w, p, p + least(len(w), 10) - 1) AS win
+    FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS p FROM words WHERE kind = 'b' AND len(w) > 0)
+), places AS (
+    SELECT id AS doc_id, n, p, list_slice(w, p, p + n - 1) AS win
+    FROM (SELECT id, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM words, (SELECT DISTINCT n FROM item_windows) WHERE kind = 'd')
+), met AS (
+    SELECT doc_id, item_id, p, n FROM places JOIN item_windows USING (n, win)
+), hit AS (
+    SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + n)) AS q FROM met) GROUP BY doc_id
+), items AS (
+    SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS list
+    FROM met GROUP BY doc_id
+)
+SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit,
+    CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(list, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit ON hit.doc_id = id LEFT JOIN items ON items.doc_id = id WHERE kind = 'd'"""
+
+
+def op2_frame(docs: DataFrame) -> DataFrame:
+    done = bpe.round_trip(docs, RANK_FILE, public_tokenizers.PATTERN)
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2_frame(table(spark, sf_dir, "documents"))
+
+
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
 QUERIES = {
+    "op1_winnowing_decontamination": op1,
+    "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_winnowing_decontamination": _OP1_SQL,
+}
