@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, simhash
+from pledgemart.llm import bpe, decontam, quality_rules, simhash
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -70,10 +70,16 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    trusted = table(spark, sf_dir, "labels").filter("quality = 1")
+    return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1,
     "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
+    "op5_likelihood_ratio_rules": op5,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {
