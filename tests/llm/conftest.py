@@ -22,7 +22,7 @@ def documents(spark):
 @pytest.fixture
 def awkward(spark):
     """Nulls, empty and blank texts, repeated rows, equal ids, and extra columns with clashing names."""
-    long = " ".join(f"w{i % 997}" for i in range(30000))
+    long = " ".join(f"w{i * 7919 % 30011}" for i in range(30000))
     rows = [
         (1, "one two three four five six seven eight nine ten eleven twelve", "a"),
         (1, "one two three four five six seven eight nine ten eleven twelve", "a"),
