@@ -26,7 +26,7 @@ SMOOTHING = 1.0
 #: N-grams per bucket, dealt out like the raw corpus, that are added to the target: rare ones say little.
 PRIOR = 16.0
 #: The least mean log ratio that is kept.
-THRESHOLD = -0.055
+THRESHOLD = -0.065
 #: Trusted rows that the target is estimated from; of more, about so many, chosen by a hash of their id.
 TRUSTED_MOST = 50_000
 #: Base rule: at least so many words, and at most so many percent of them in repeated windows.

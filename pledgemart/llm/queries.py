@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, quality_rules, simhash
+from pledgemart.llm import bpe, decontam, quality_rules, secret_scan, simhash
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -75,11 +75,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "word_at", "run_at", F.length("candidate").alias("length"),
+        F.sha2("candidate", 256).alias("candidate_sha256"), "score", "is_secret",
+    )
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1,
     "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
     "op5_likelihood_ratio_rules": op5,
+    "op10_forest_secret_scan": op10,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {

@@ -79,7 +79,7 @@ def test_labelled_junk_is_told_from_good_text(spark):
     judged = rules.judge(spark.read.parquet(f"{sf}/documents.parquet"), half).filter("NOT base_failed")
     held = judged.join(labels.filter("doc_id % 2 = 1"), "doc_id").groupBy("quality", "kept").count().collect()
     n = {(r.quality, r.kept): r["count"] for r in held}
-    assert n.get((1, False), 0) <= 0.02 * n[1, True] and n.get((0, True), 0) <= 0.2 * n[0, False]
+    assert n.get((1, False), 0) <= 0.03 * n[1, True] and n.get((0, True), 0) <= 0.2 * n[0, False]
 
 
 def test_plan_is_native(spark, documents):
