@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, quality_rules, secret_scan, simhash
+from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -75,6 +75,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = kd_shards.assign(table(spark, sf_dir, "documents"), shards=40)
+    return dealt.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -88,6 +93,7 @@ QUERIES = {
     "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
     "op5_likelihood_ratio_rules": op5,
+    "op8_kd_tree_shards": op8,
     "op10_forest_secret_scan": op10,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
