@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash
+from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash, url_rules
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -75,6 +75,20 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
 
 
+URL_LIST = [
+    ("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"),
+    ("block", "net", "/es/"), ("block", "net", "/fr/"),
+]
+
+
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = table(spark, sf_dir, "labels").filter("quality IS NOT NULL AND toxic IS NOT NULL")
+    labels = judged.select(
+        F.col("doc_id").alias("page_id"), F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow").alias("label")
+    )
+    return url_rules.judge(table(spark, sf_dir, "pages"), labels, URL_LIST)
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = kd_shards.assign(table(spark, sf_dir, "documents"), shards=40)
     return dealt.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
@@ -93,6 +107,7 @@ QUERIES = {
     "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
     "op5_likelihood_ratio_rules": op5,
+    "op6_association_url_rules": op6,
     "op8_kd_tree_shards": op8,
     "op10_forest_secret_scan": op10,
 }

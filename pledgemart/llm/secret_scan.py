@@ -131,7 +131,8 @@ def weak_labels(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(sure, 1.0).when(~mixed | (F.col("f_in_url") == 1), 0.0))
 
 
-_assemble = VectorAssembler(inputCols=FEATURES, outputCol="features")
+def _assembled(rows: DataFrame) -> DataFrame:
+    return VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows)
 
 
 def train(labelled: DataFrame, most: int = TRAIN_MOST) -> RandomForestClassificationModel | None:
@@ -146,7 +147,7 @@ def train(labelled: DataFrame, most: int = TRAIN_MOST) -> RandomForestClassifica
     chosen = chosen.filter(F.pmod(F.xxhash64(*FEATURES, "id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
     weight = F.when(F.col("label") == 1, n[0.0] / n[1.0]).otherwise(1.0)
     forest = RandomForestClassifier(numTrees=TREES, maxDepth=DEPTH, seed=SEED, weightCol="weight")
-    return forest.fit(_assemble.transform(chosen.withColumn("weight", weight)).select("features", "label", "weight"))
+    return forest.fit(_assembled(chosen.withColumn("weight", weight)).select("features", "label", "weight"))
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float = 0.5) -> DataFrame:
@@ -162,7 +163,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     if model is None:
         scored = found.withColumn("score", F.coalesce("label", F.lit(0.0)))
     else:
-        scored = model.transform(_assemble.transform(found)).withColumn("score", vector_to_array("probability")[1])
+        scored = model.transform(_assembled(found)).withColumn("score", vector_to_array("probability")[1])
     kept = ["doc_id", "text_key", "word_at", "run_at", "candidate", *FEATURES, "score"]
     return scored.select(*kept, (F.col("score") >= threshold).alias("is_secret"))
 
