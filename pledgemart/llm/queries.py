@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash, url_rules
+from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash, token_totals, url_rules
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -94,6 +94,11 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dealt.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hist = token_totals.histogram(table(spark, sf_dir, "documents"), RANK_FILE, public_tokenizers.PATTERN)
+    return token_totals.with_sums(hist)
+
+
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan(table(spark, sf_dir, "documents"))
     return found.select(
@@ -109,6 +114,7 @@ QUERIES = {
     "op5_likelihood_ratio_rules": op5,
     "op6_association_url_rules": op6,
     "op8_kd_tree_shards": op8,
+    "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
