@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, kd_shards, quality_rules, secret_scan, simhash, token_totals, url_rules
+from pledgemart.llm import bpe, decontam, kd_shards, ppm, quality_rules, secret_scan, simhash, token_totals, url_rules
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -89,6 +89,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge(table(spark, sf_dir, "pages"), labels, URL_LIST)
 
 
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm.score(table(spark, sf_dir, "documents"))
+
+
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     dealt = kd_shards.assign(table(spark, sf_dir, "documents"), shards=40)
     return dealt.select("*", F.lit("bytes").alias("law"), F.lit(None).cast("int").alias("grown_shard"))
@@ -113,6 +117,7 @@ QUERIES = {
     "op3_simhash_near_dedup": op3,
     "op5_likelihood_ratio_rules": op5,
     "op6_association_url_rules": op6,
+    "op7_ppm_scores": op7,
     "op8_kd_tree_shards": op8,
     "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
