@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, decontam, kd_shards, ppm, quality_rules, secret_scan, simhash, token_totals, url_rules
+from pledgemart.llm import bpe, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, simhash, token_totals, url_rules
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
@@ -52,15 +52,20 @@ SELECT id AS doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0)
 FROM words LEFT JOIN hit ON hit.doc_id = id LEFT JOIN items ON items.doc_id = id WHERE kind = 'd'"""
 
 
-def op2_frame(docs: DataFrame) -> DataFrame:
+def encoded(docs: DataFrame) -> DataFrame:
+    """Each row's ids, and digests of them and of what they decode to."""
     done = bpe.round_trip(docs, RANK_FILE, public_tokenizers.PATTERN)
     return done.select(
-        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids",
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
 
+def op2_frame(docs: DataFrame) -> DataFrame:
+    return encoded(docs).drop("ids")
+
+
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op2_frame(table(spark, sf_dir, "documents"))
 
@@ -70,6 +75,11 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", hex64(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return cotrain.classify(table(spark, sf_dir, "documents"), labels)
+
+
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     trusted = table(spark, sf_dir, "labels").filter("quality = 1")
     return quality_rules.judge(table(spark, sf_dir, "documents"), trusted)
@@ -111,16 +121,24 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES = {
     "op1_winnowing_decontamination": op1,
     "op2_byte_bpe": op2,
     "op3_simhash_near_dedup": op3,
+    "op4_cotraining_quality": op4,
     "op5_likelihood_ratio_rules": op5,
     "op6_association_url_rules": op6,
     "op7_ppm_scores": op7,
     "op8_kd_tree_shards": op8,
     "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
+    "pipeline": pipeline,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
 ORACLES: dict[str, str] = {
