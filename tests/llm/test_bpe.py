@@ -28,6 +28,20 @@ def test_any_bytes_of_one_piece(raw):
     assert bpe.Prefixes(ENCODER.vocabulary, raw).ids() == TRUE._core_bpe.encode_single_piece(raw) or raw in RANKS
 
 
+def test_neighbours_are_those_that_merging_leaves_apart():
+    rng, vocabulary = random.Random(6), ENCODER.vocabulary
+    usual = [r for r, t in vocabulary.tokens.items() if t.isalpha() and len(t) < 5]
+    for _ in range(60000):
+        a, b = rng.choice(usual), rng.choice(usual if rng.random() < 0.8 else list(vocabulary.tokens)[:3000])
+        raw = vocabulary.tokens[a] + vocabulary.tokens[b]
+        assert vocabulary.pair(a, b) == (vocabulary.merges(raw)[0] == [vocabulary.tokens[a], vocabulary.tokens[b]])
+    for text in ("aaaaaaa", "abababab", "      ", "\n\n\n\n\n", "========="):
+        for n in range(1, 40):
+            raw = (text * n)[: 3 * n].encode()
+            assert ENCODER.piece(raw) == tuple(TRUE._core_bpe.encode_single_piece(raw))
+            assert raw in RANKS or bpe.Prefixes(vocabulary, raw).ids() == list(ENCODER.piece(raw))
+
+
 def test_every_prefix_and_every_append_is_exact():
     raw = ("transformation" * 3 + "ereringthe").encode()
     grown = bpe.Prefixes(ENCODER.vocabulary)
