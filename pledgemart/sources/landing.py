@@ -17,49 +17,47 @@ from pledgemart import fixed_values as fv
 from pledgemart.functions.casts import strip
 from pledgemart.functions.times import dashed_dt, normalize_dt
 
-# A file up to this size is parsed as one document. Its VARIANT then stays well below
-# Spark's limit for one value (128 MiB).
-MAX_DOCUMENT_BYTES = 32 << 20
-# A gzip file this many times smaller can grow past the limit.
-_GZIP_GROWTH = 16
+# The most bytes of JSON that Spark holds in one VARIANT.
+MAX_DOCUMENT_BYTES = 128 << 20
 
 _FILES = "text string, source_key string, path_rank int, block_start bigint, line_no bigint"
 
 
-def read_files(
-    spark: SparkSession, base: str, table: str, dt: str, max_document_bytes: int = MAX_DOCUMENT_BYTES
-) -> DataFrame:
+def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
     """Text of the day's ``.json``, ``.jsonl`` and ``.json.gz`` files below both spellings of ``dt``.
 
-    Small files are one row each. Larger ones are read by line, so that Spark can split them.
+    What a file is decides how it is read, not its size. A ``.jsonl`` file whose first line stands
+    alone as a document is read by line, so that Spark can split it; every other file is one row.
     """
     root = f"{base.rstrip('/')}/{table}/dt={{{normalize_dt(dt)},{dashed_dt(dt)}}}"
-    options = {"pathGlobFilter": "*.{json,jsonl,json.gz}", "recursiveFileLookup": True}
     path = F.col("_metadata.file_path")
-    limit = F.when(path.endswith(".gz"), max_document_bytes // _GZIP_GROWTH).otherwise(max_document_bytes)
-    small = F.col("_metadata.file_size") <= limit
     shared = [
         F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("source_key"),
         F.when(path.contains(f"/dt={dashed_dt(dt)}/"), 1).otherwise(0).alias("path_rank"),
     ]
+
+    def text(ending: str, **options) -> DataFrame:
+        return spark.read.options(pathGlobFilter=f"*.{ending}", recursiveFileLookup=True).text(root, **options)
+
+    whole_place = [F.lit(-1).cast("bigint").alias("block_start"), F.lit(0).cast("bigint").alias("line_no")]
+    # Within a split, ids grow with the line; splits of a file are told apart by their start.
+    line_place = [F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("line_no")]
     try:
-        whole = spark.read.options(**options).text(root, wholetext=True).where(small)
-        lines = spark.read.options(**options).text(root).where(~small)
+        whole = text("{json,json.gz}", wholetext=True).select(F.col("value").alias("text"), *shared, *whole_place)
+        lines = text("jsonl").select(F.col("value").alias("text"), *shared, *line_place)
+        whole_lines = text("jsonl", wholetext=True).select(F.col("value").alias("text"), *shared, *whole_place)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _FILES)
-    whole = whole.select(
-        F.col("value").alias("text"), *shared,
-        F.lit(-1).cast("bigint").alias("block_start"), F.lit(0).cast("bigint").alias("line_no"),
-    )
-    # Within a split, ids grow with the line; splits of a file are told apart by their start.
-    lines = lines.select(
-        F.col("value").alias("text"), *shared,
-        F.col("_metadata.file_block_start").alias("block_start"),
-        F.monotonically_increasing_id().alias("line_no"),
+    first = F.min_by("text", F.struct("block_start", "line_no"))
+    heads = lines.where(F.col("text").rlike(r"\S")).groupBy("source_key").agg(first.alias("head"))
+    # Kept as rows of their own so that the filter is not pushed below the parsing.
+    documents = heads.select("source_key", _only(_as_items(F.make_valid_utf8("head"))).isNull().alias("odd")).where("odd")
+    return (
+        whole.unionByName(lines.join(documents, "source_key", "left_anti").select(whole.columns))
+        .unionByName(whole_lines.join(documents, "source_key", "left_semi").select(whole.columns))
     )
-    return whole.unionByName(lines)
 
 
 def _as_items(text: Column) -> Column:
@@ -80,31 +78,32 @@ def _documents_of(texts: Column) -> Column:
     return F.transform(F.transform(texts, _as_items), _only)
 
 
-def parse_documents(
-    files: DataFrame, max_document_bytes: int = MAX_DOCUMENT_BYTES, keep_bad: bool = False
-) -> DataFrame:
+def parse_documents(files: DataFrame, keep_bad: bool = False, max_document_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
     """One row per JSON document: the whole text if it is one document, else one per line.
 
-    Blank lines are skipped and unreadable lines dropped, or kept with a NULL ``doc`` on request.
+    Blank lines are skipped and unreadable lines dropped, or kept with a NULL ``doc`` on request. A
+    text that may be one document but is too large to be held as such stops the job with its file's
+    name: it is as a whole above the limit, or a line of it is.
     """
     by_line = F.col("block_start") >= 0
     located = files.withColumn("text", F.make_valid_utf8("text"))
-    fits = ~by_line | (F.octet_length("text") <= max_document_bytes)
-    parsed = located.withColumn("items", F.when(fits, _as_items(F.col("text")))).withColumn(
-        "whole", _only(F.col("items"))
-    )
+    parsed = located.withColumn("whole", _only(_as_items(F.col("text"))))
     # Spaces around a document are left to the parser: trimming a large text is costly.
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda line: line.rlike(r"\S"))
+    too_large = F.raise_error(F.concat(F.lit("a JSON document above Spark's size limit, land it in parts: "), "source_key"))
+    # Only what one VARIANT could not hold is looked at closer: lines stand alone, a document does not.
+    is_large = F.octet_length("text") > max_document_bytes
+    first_stands = _only(_as_items(F.get(lines, F.lit(0)))).isNotNull() & (F.size(lines) > 1)
+    long_line = F.exists(lines, lambda line: F.octet_length(line) > max_document_bytes)
     units = (
         F.when(F.col("whole").isNotNull(), F.array(F.col("whole")))
+        .when(is_large & (by_line | ~first_stands | long_line), too_large.cast("array<variant>"))
         .when(by_line & ~F.col("text").rlike(r"\S"), F.array().cast("array<variant>"))
-        .when(~fits, _oversized(F.trim("text")))
-        .when(by_line, F.array(_refuse_pretty_print(F.trim("text"))))
+        .when(by_line, F.array(F.lit(None).cast("variant")))
         .otherwise(_documents_of(lines))
     )
     docs = parsed.select(
         "source_key", "path_rank", "block_start", "line_no",
-        (~fits).alias("in_list"),
         # A field name with spaces around it is rare, and worth a rewrite only where one may occur.
         F.col("text").rlike(r'\s"\s*:|"\s[^"]*"\s*:').alias("padded"),
         F.posexplode(units).alias("unit", "doc"),
@@ -112,20 +111,6 @@ def parse_documents(
     return docs if keep_bad else docs.where(F.col("doc").isNotNull())
 
 
-def _oversized(line: Column) -> Column:
-    """A line too long for one VARIANT: the items of its list. Anything else is refused, not lost."""
-    items = F.transform(
-        F.from_json(line, "array<string>"), lambda item: F.coalesce(_only(_as_items(item)), item.cast("variant"))
-    )
-    refusal = F.raise_error(F.lit("a JSON object above the document size limit; land it as a list or as lines"))
-    return F.when(line.startswith("[") & line.endswith("]"), items).otherwise(refusal.cast("array<variant>"))
-
-
-def _refuse_pretty_print(line: Column) -> Column:
-    refusal = F.raise_error(F.lit("an indented JSON file above the document size limit; land it as one line or as lines"))
-    return F.when(line.isin("[", "{"), refusal.cast("variant")).otherwise(F.lit(None).cast("variant"))
-
-
 def _wrapped_list(item: str, fields: list[str]) -> Column:
     return F.coalesce(*[F.try_variant_get(item, f"$.{f}", "array<variant>") for f in fields])
 
@@ -156,10 +141,10 @@ def unwrap_records(
     ``{"raw_value": x}``. With ``unwrap_items`` the objects inside a list are unwrapped too.
     ``parent_fields`` limits the context to the scalars a table reads.
     """
-    items = docs.withColumn("items", F.when(~F.col("in_list"), F.col("doc").try_cast("array<variant>")))
+    items = docs.withColumn("items", F.col("doc").try_cast("array<variant>"))
     items = items.select(
         "source_key", "path_rank", "block_start", "line_no", "unit", "padded",
-        (F.col("items").isNull() & ~F.col("in_list")).alias("is_single"),
+        F.col("items").isNull().alias("is_single"),
         F.posexplode(F.coalesce("items", F.array("doc"))).alias("item_no", "item"),
     )
     wrapped = _wrapped_list("item", fv.WRAPPER_LIST_FIELDS)
@@ -193,10 +178,9 @@ def with_file_position(df: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, base: str, table: str, dt: str, **limits: int) -> DataFrame:
+def read_records(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
     """Records of one landed table and day."""
-    docs = parse_documents(read_files(spark, base, table, dt, **limits), **limits)
-    return records_of_table(docs, table)
+    return records_of_table(parse_documents(read_files(spark, base, table, dt)), table)
 
 
 def records_of_table(docs: DataFrame, table: str) -> DataFrame:

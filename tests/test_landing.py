@@ -24,14 +24,14 @@ def land(tmp_path):
     return write
 
 
-def read(spark, land, table="preorder", **limits):
-    records = landing.read_records(spark, land.base, table, DT, **limits)
+def read(spark, land, table="preorder"):
+    records = landing.read_records(spark, land.base, table, DT)
     ordered = records.orderBy("read_order").select(F.to_json("record").alias("r"), "parent", "source_key")
     return [(json.loads(r.r), r.parent, r.source_key.rsplit("/", 1)[-1]) for r in ordered.collect()]
 
 
-def payloads(spark, land, **limits):
-    return [r for r, _, _ in read(spark, land, **limits)]
+def payloads(spark, land, **how):
+    return [r for r, _, _ in read(spark, land, **how)]
 
 
 @pytest.mark.parametrize(
@@ -112,22 +112,46 @@ def test_invalid_bytes_are_replaced(spark, land):
     assert payloads(spark, land) == [{"n": "a�b"}]
 
 
-def test_large_files_are_read_by_line_with_the_same_rows(spark, land):
+@pytest.mark.parametrize("text, expected, parent", [
+    ('{"user_id": 1, "data": [\n{"projectId": 1},\n{"projectId": 2}\n]}', [{"projectId": 1}, {"projectId": 2}], {"user_id": "1"}),
+    ('[{"projectId": 1},\n{"projectId": 2},\n{"projectId": 3}]', [{"projectId": n} for n in (1, 2, 3)], None),
+    ('["12", "x", {"a": 1}]', [{"raw_value": "12"}, {"raw_value": "x"}, {"a": 1}], None),
+    ('{"user_id":1,"data":[{"p":1},{"p":2}]}', [{"p": 1}, {"p": 2}], {"user_id": "1"}),
+    ('{"a":1}\n{bad\n[{"a":2},\n{"a":3}', [{"a": 1}, {"a": 3}], None),
+    ("\n \n[\n{\n\"a\": 1\n}\n]\n", [{"a": 1}], None),
+])
+@pytest.mark.parametrize("ending", ["json", "jsonl", "json.gz"])
+def test_a_file_is_read_alike_whatever_its_ending_and_splits(spark, land, text, expected, parent, ending):
+    land(f"a.{ending}", text)
+    for most in ("40b", "128m"):  # splits of 40 bytes, and one split
+        spark.conf.set("spark.sql.files.maxPartitionBytes", most)
+        try:
+            got = read(spark, land)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        assert [r for r, _, _ in got] == expected
+        assert not parent or all(p["user_id"] == parent["user_id"] for _, p, _ in got)
+
+
+def test_lines_of_one_file_are_split_and_keep_their_order(spark, land):
     lines = [json.dumps({"n": i, "pad": "x" * 50}) for i in range(200)]
     land("a.jsonl", "\n".join(lines[:100] + ["{bad"] + lines[100:]))
     land("b.json", json.dumps([json.loads(x) for x in lines]))
     small = read(spark, land)
-    assert read(spark, land, max_document_bytes=4096) == small
-    assert len(small) == 400
-
-
-def test_large_indented_or_single_objects_are_refused(spark, land):
-    land("a.json", json.dumps([{"n": i} for i in range(100)], indent=1))
-    with pytest.raises(Exception, match="indented JSON file"):
-        payloads(spark, land, max_document_bytes=64)
-    land("a.json", json.dumps({"n": "x" * 100}))
-    with pytest.raises(Exception, match="object above the document size"):
-        payloads(spark, land, max_document_bytes=64)
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert landing.read_files(spark, land.base, "preorder", DT).rdd.getNumPartitions() > 4
+        assert read(spark, land) == small and len(small) == 400
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+@pytest.mark.parametrize("text", ['{"n": "%s"}' % ("x" * 100), '[\n{"n": "%s"}\n,5' % ("x" * 100), '{"n":1}\n{"n":"%s"}' % ("x" * 100)])
+def test_a_document_that_no_variant_can_hold_stops_the_job_with_its_name(spark, land, text):
+    land("huge.json", text[:-1])  # unreadable, as one beyond Spark's limit would be
+    files = landing.read_files(spark, land.base, "preorder", DT)
+    with pytest.raises(Exception, match="above Spark's size limit.*huge.json"):
+        landing.parse_documents(files, max_document_bytes=64).collect()
 
 
 def test_bad_lines_are_counted_per_file(spark, land):
