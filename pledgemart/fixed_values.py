@@ -301,3 +301,16 @@ PUBLIC_CAMPAIGN_COLUMNS = (
     "question_cnt answer_cnt avg_sentiment_score positive_comment_cnt negative_comment_cnt "
     "neutral_comment_cnt reaction_cnt dt"
 ).split()
+
+# Where the figures of a campaign's snapshot stand, by the names a mart may use. The
+# first list is for the daily mart, the second for the campaign mart.
+SNAPSHOT_COLUMNS = {
+    "amount": (["total_funding_amount"], ["total_funding_amount", "total_backed_amount"]),
+    "achievement": (["achievement_rate"], ["achievement_rate"]),
+    "participation": (["participation_cnt", "supporter_count"], ["participation_cnt", "supporter_count"]),
+    "signature": (["signature_cnt"], ["signature_cnt"]),
+    "daily_views": (["detail_views", "detail_view_cnt"], []),
+    "daily_conversion": (["daily_conversion_rate"], []),
+    "comments": (["comment_cnt", "comment_count"], ["comment_cnt", "comment_count"]),
+}
+HEADLINE_RATES = ["view_to_participation_rate", "wish_to_participation_rate"]

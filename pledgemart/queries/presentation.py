@@ -225,6 +225,30 @@ _SENTIMENT_SERIES_SQL = with_views(_unpivot(
     "comment_nlp_kpi")
 
 
+def snapshot_other_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The snapshot from marts that call their figures by the other names."""
+    camp = marts.campaign_kpi(spark, sf_dir).withColumnsRenamed({
+        "total_funding_amount": "total_backed_amount", "participation_cnt": "supporter_count", "comment_cnt": "comment_count",
+    })
+    daily = _daily(spark, sf_dir).withColumnsRenamed({"participation_cnt": "supporter_count", "detail_views": "Detail_View_Cnt"})
+    return present.campaign_snapshot(camp, daily, marts.comment_nlp_kpi(spark, sf_dir))
+
+
+def headline_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The wish rate is missing for some campaigns, the view rate stands under another spelling."""
+    rates = marts.campaign_kpi(spark, sf_dir).withColumns({
+        "View_To_Participation_Rate": F.col("participation_cnt").cast("double") / 7,
+        "wish_to_participation_rate": F.when(F.col("campaign_id") % 2 == 0, F.col("signature_cnt").cast("double") / 9),
+    })
+    return present.headline_rates(rates).select("campaign_id", "view_to_participation_rate", "wish_to_participation_rate")
+
+
+_HEADLINE_SQL = with_views(f"""
+    SELECT campaign_id, COALESCE({_d('participation_cnt')} / 7, 0) AS view_to_participation_rate,
+      CASE WHEN campaign_id % 2 = 0 THEN COALESCE({_d('signature_cnt')} / 9, 0) ELSE {_d('0')} END AS wish_to_participation_rate
+    FROM campaign_kpi""", "campaign_kpi")
+
+
 # Means of quotients depend in the last bits on the order of the sum; both engines round them.
 _DIGITS = 9
 
@@ -255,7 +279,8 @@ def performance_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = present.performance_index(marts.campaign_kpi(spark, sf_dir), bench)
     return index.select(
         "campaign_id", "category_name", "metric_no", "metric",
-        *[F.round(c, 6).alias(c) for c in ("value", "category_average", "index")], "higher_is_better",
+        *[F.round(c, 6).alias(c) for c in ("value", "category_average", "index", "index_difference")],
+        "index_label", "higher_is_better",
     )
 
 
@@ -265,6 +290,7 @@ def _index_sql(no: int, column: str, average: str, higher: bool) -> str:
              else f"CASE WHEN {own} = 0 THEN {_d('160')} ELSE {base} / {own} * {_d('100')} END")
     return f"""SELECT r.campaign_id, r.category_name, CAST({no} AS INTEGER) AS metric_no, '{column}' AS metric,
       round({own}, 6) AS value, round({base}, 6) AS category_average, round({index}, 6) AS index,
+      round({index} - 100, 6) AS index_difference, CAST(round({index}, 0) AS BIGINT) AS index_label,
       {str(higher).lower()} AS higher_is_better
     FROM rated r JOIN category_summary s ON r.category_name = s.category_name WHERE {base} IS NOT NULL"""
 
@@ -328,6 +354,8 @@ _MANIFEST_SQL = "\nUNION ALL ".join(
 
 QUERIES = {
     "d1_snapshot": snapshot,
+    "d1_snapshot_other_names": snapshot_other_names,
+    "d4_headline_rates": headline_rates,
     "d1_kpi_cards": kpi_cards,
     "d2_check_points": check_points,
     "d3_funding_series": funding_series,
@@ -348,6 +376,8 @@ QUERIES = {
 }
 ORACLES = {
     "d1_snapshot": with_views("SELECT * FROM snapshot", "snapshot"),
+    "d1_snapshot_other_names": with_views("SELECT * FROM snapshot", "snapshot"),
+    "d4_headline_rates": _HEADLINE_SQL,
     "d1_kpi_cards": _CARDS_SQL,
     "d2_check_points": _CHECKS_SQL,
     "d3_funding_series": _FUNDING_SERIES_SQL,
