@@ -111,7 +111,7 @@ def supporter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fundings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _order_lines(spark, sf_dir).where(F.col("l_linestatus") == "F").select(
+    return _order_lines(spark, sf_dir).select(
         "user_id_hash",
         F.col("l_suppkey").alias("campaign_id"),
         whole(F.col("l_extendedprice")).alias("amount"),
@@ -121,9 +121,12 @@ def fundings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def wishes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return read(spark, sf_dir, "events").where(F.col("event_type").isin("click", "view")).select(
+    """All events; some have a campaign id that is no number, some have none."""
+    number = F.get_json_object("props", "$.k")
+    campaign = F.when(F.col("event_id") % 50 == 0, F.lit("no id")).when(F.col("event_id") % 50 != 1, number)
+    return read(spark, sf_dir, "events").select(
         user_hash(F.col("user_id")).alias("user_id_hash"),
-        F.get_json_object("props", "$.k").cast("bigint").alias("campaign_id"),
+        campaign.alias("campaign_id"),
         F.col("ts").alias("snapshot_at"),
         (whole(F.col("value")) % 5 - 2).alias("remaining_day_at_wish_snapshot"),
         F.date_format("ts", "yyyyMMdd").alias("dt"),
@@ -210,12 +213,12 @@ VIEW_SQL: dict[str, tuple[list[str], str]] = {
         SELECT sha256('s:' || CAST(o_custkey AS VARCHAR)) AS user_id_hash, l_suppkey AS campaign_id,
           CAST(floor(l_extendedprice) AS BIGINT) AS amount, l_shipdate AS funded_at,
           strftime(l_shipdate, '%Y%m') || '01' AS dt
-        FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linestatus = 'F'"""),
+        FROM lineitem JOIN orders ON l_orderkey = o_orderkey"""),
     "ad_wishes": ([], r"""
         SELECT sha256('s:' || CAST(user_id AS VARCHAR)) AS user_id_hash,
-          CAST(regexp_extract(props, '"k": *(\d+)', 1) AS BIGINT) AS campaign_id, ts AS snapshot_at,
+          if(event_id % 50 > 1, CAST(regexp_extract(props, '"k": *(\d+)', 1) AS BIGINT), NULL) AS campaign_id, ts AS snapshot_at,
           CAST(floor(value) AS BIGINT) % 5 - 2 AS remaining_day_at_wish_snapshot, strftime(ts, '%Y%m%d') AS dt
-        FROM events WHERE event_type IN ('click', 'view')"""),
+        FROM events"""),
     "ad_comments": ([], """
         SELECT CAST(t.conv_id * 100 + t.turn AS VARCHAR) AS comment_id, t.conv_id % 100 AS campaign_id,
           CAST(CASE WHEN t.turn = 0 THEN 0 ELSE 1 END AS BIGINT) AS depth,
