@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import tempfile
 import uuid
 from collections.abc import Callable
 from dataclasses import dataclass, field
@@ -29,13 +28,11 @@ EMPTY_INPUT = 2
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Where intermediate tables go: the folder the cluster names, or on one machine a temporary one."""
+    """Where intermediate tables go: the folder the session names."""
     named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not named:
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return tempfile.mkdtemp(prefix="pledgemart-")
+    return named.rstrip("/")
 
 
 def _remove(spark: SparkSession, path: str) -> None:
@@ -176,6 +173,7 @@ def main(argv: list[str] | None = None) -> int:
     marts.add_argument("--silver-base", required=True)
     marts.add_argument("--gold-base", required=True)
     marts.add_argument("--database")
+    marts.add_argument("--as-of-dt", help="only days up to this one")
     extract = steps.add_parser("export")
     extract.add_argument("--gold-base", required=True)
     extract.add_argument("--export-base", required=True)
@@ -193,7 +191,7 @@ def main(argv: list[str] | None = None) -> int:
     if args.step == "gold":
         print(run_gold(
             spark, silver=lambda table: sinks.read_partitioned(spark, args.silver_base, table),
-            gold_base=args.gold_base, database=args.database,
+            gold_base=args.gold_base, database=args.database, as_of_dt=args.as_of_dt,
         ))
     else:
         print(run_export(spark, gold_base=args.gold_base, export_base=args.export_base))
