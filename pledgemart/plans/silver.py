@@ -10,12 +10,12 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pledgemart import fixed_values as fv
 from pledgemart.functions import classify, pii, text as nlp, times
 from pledgemart.functions.casts import to_double
-from pledgemart.operators.conform import either_container, enforce_schema, pick_first_present
+from pledgemart.operators.conform import either_container, enforce_schema, pick_first_present, read_fields
 from pledgemart.operators.dedup import keep_last
 from pledgemart.registry import get_schema
 
@@ -118,22 +118,28 @@ def fundings(records: DataFrame, dt: str, settings: Settings = Settings()) -> Da
     )
 
 
-def _flag_text(candidates: str) -> Column:
-    """Text of the first present field, a JSON ``true`` or ``false`` reading as 1 or 0."""
+def _with_flags(records: DataFrame, candidates: dict[str, str]) -> DataFrame:
+    """``records`` with text columns: of each the first present field, a JSON ``true`` or ``false`` as 1 or 0.
+
+    All fields come from one pass over the record, as they are; their kind decides afterwards.
+    """
+    paths = [p for names in candidates.values() for p in names.split()]
+    found, places = read_fields(records, paths, *records.columns, leaf=T.VariantType())
 
     def value(path: str) -> Column:
-        text = F.try_variant_get("record", f"$.{path}", "string")
-        number = F.try_variant_get("record", f"$.{path}", "double")
-        return F.when(text.isin("true", "false"), F.coalesce(number.cast("string"), text)).otherwise(text)
+        text = F.col(places[path]).try_cast("string")
+        number = F.col(places[path]).try_cast("double").cast("string")
+        return F.when(text.isin("true", "false"), F.coalesce(number, text)).otherwise(text)
 
-    return F.coalesce(*[value(p) for p in candidates.split()])
+    flags = [F.coalesce(*[value(p) for p in names.split()]).alias(name) for name, names in candidates.items()]
+    return found.select(*records.columns, *flags)
 
 
 def wishes(records: DataFrame, dt: str, settings: Settings = Settings()) -> DataFrame:
     fields = dict(fv.WISH_FIELDS)
-    flags = [_flag_text(fields.pop(n)).alias(n) for n in ("ended_flag", "remaining_for_active")]
+    flags = {n: fields.pop(n) for n in ("ended_flag", "remaining_for_active")}
     snapshot_at = F.coalesce(times.to_kst(F.col("snapshot_at")), times.midnight(dt))
-    picked = pick_first_present(records, fields, *flags).withColumn("snapshot_at", snapshot_at)
+    picked = pick_first_present(_with_flags(records, flags), fields, *flags).withColumn("snapshot_at", snapshot_at)
     snapshot_dt = F.coalesce(times.date_key(F.col("snapshot_at")), F.lit(dt))
     typed = {
         "user_id_hash": _user_hash(settings),

@@ -147,10 +147,11 @@ def unwrap_records(
         F.col("items").isNull().alias("is_single"),
         F.posexplode(F.coalesce("items", F.array("doc"))).alias("item_no", "item"),
     )
-    wrapped = _wrapped_list("item", fv.WRAPPER_LIST_FIELDS)
-    if not unwrap_items:
-        wrapped = F.when(F.col("is_single"), wrapped)
-    items = items.withColumn("children", wrapped)
+    # All wrapper fields in one pass over the item, in a projection of its own; then the first list.
+    held = F.col("item").try_cast("struct<" + ",".join(f"{f}:variant" for f in fv.WRAPPER_LIST_FIELDS) + ">")
+    items = items.withColumn("held", held if unwrap_items else F.when(F.col("is_single"), held))
+    lists = [F.col(f"held.{f}").try_cast("array<variant>") for f in fv.WRAPPER_LIST_FIELDS]
+    items = items.withColumn("children", F.coalesce(*lists))
     records = items.select(
         "source_key", "padded",
         F.when(F.col("children").isNotNull(), _scalars(F.col("item"), parent_fields)).alias("parent"),
