@@ -76,7 +76,8 @@ def as_text(df: DataFrame) -> DataFrame:
 
 def export_extract(df: DataFrame, path: str) -> str:
     """A CSV extract with a header, replacing the one before."""
-    as_text(df).write.mode("overwrite").option("header", True).option("emptyValue", "").csv(path)
+    options = {"header": True, "emptyValue": "", "escape": '"'}  # quotes are doubled, as readers of CSV expect
+    as_text(df).write.mode("overwrite").options(**options).csv(path)
     return path
 
 
