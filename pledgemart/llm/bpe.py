@@ -27,8 +27,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from pledgemart.llm.common import byte_slices, limit_batches, pick
 
-#: Pieces and pairs that a worker remembers at a time.
-MEMORY = 200_000
+#: Pieces, and pairs of tokens, that a worker remembers at a time: 100 to 200 MB.
+MEMORY = 400_000
+#: Lengths of the beginnings whose last tokens are kept for other pieces, in bytes.
+SHARED = (9, 7, 5)
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -43,34 +45,72 @@ class Vocabulary:
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
+        self.sizes = {rank: len(token) for token, rank in ranks.items()}
         self.longest = max(map(len, ranks))
-        self._pairs: dict[tuple[int, int], bool] = {}
-        self._alone: dict[int, bool] = {}
+        self._pairs: dict[int, bool] = {}
+        self._edges: dict[int, tuple] = {}
 
-    def _merged(self, raw: bytes) -> list[int]:
-        """The few bytes of one or two tokens, merged by rank."""
-        parts = [raw[i : i + 1] for i in range(len(raw))]
+    def merges(self, raw: bytes) -> tuple[list[bytes], list[tuple[bytes, bytes]]]:
+        """The few bytes of a token, merged by rank: what is left, and the two sides of each merge."""
+        parts, made = [raw[i : i + 1] for i in range(len(raw))], []
         while len(parts) > 1:
-            joined = [self.ranks.get(a + b, -1) for a, b in zip(parts, parts[1:], strict=False)]
-            known = [rank for rank in joined if rank >= 0]
+            known = [rank for a, b in zip(parts, parts[1:], strict=False) if (rank := self.ranks.get(a + b)) is not None]
             if not known:
                 break
-            at = joined.index(min(known))
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-        return [self.ranks[part] for part in parts]
+            joined = self.tokens[min(known)]
+            at = next(i for i in range(len(parts) - 1) if parts[i] + parts[i + 1] == joined)
+            made.append((parts[at], parts[at + 1]))
+            parts[at : at + 2] = [joined]
+        return parts, made
+
+    def edges(self, token: int) -> tuple:
+        """Whether the token's bytes encode to it, and its parts at the left and at the right edge.
+
+        A part is (bytes, rank at which it comes to be, rank at which it is merged away).
+        """
+        if (known := self._edges.get(token)) is not None:
+            return known
+        raw = self.tokens[token]
+        parts, made = self.merges(raw)
+        sides = {a + b: (a, b) for a, b in made}
+        found = []
+        for side in (0, 1):
+            part, gone, run = raw, float("inf"), []
+            while True:
+                born = self.ranks[part] if len(part) > 1 else -1
+                run.append((part, born, gone))
+                if part not in sides:
+                    break
+                part, gone = sides[part][side], born
+            found.append(run)
+        known = self._edges[token] = (parts == [raw], *found)
+        return known
 
     def alone(self, token: int) -> bool:
-        """Whether the token's bytes encode to it."""
-        if (known := self._alone.get(token)) is None:
-            known = self._alone[token] = self._merged(self.tokens[token]) == [token]
-        return known
+        return self.edges(token)[0]
 
     def pair(self, first: int, second: int) -> bool:
-        if (known := self._pairs.get((first, second))) is None:
-            if len(self._pairs) >= MEMORY:
-                self._pairs.clear()
-            known = self._merged(self.tokens[first] + self.tokens[second]) == [first, second]
-            self._pairs[first, second] = known
+        """Whether the bytes of both encode to just the two.
+
+        They do unless a part at the right edge of the first and one at the left edge of the second
+        are there at a time and their merge comes before either is merged away at home. Of equal
+        ranks the merge further left comes first.
+        """
+        key = first << 20 | second
+        if (known := self._pairs.get(key)) is not None:
+            return known
+        whole_a, _, rights = self.edges(first)
+        whole_b, lefts, _ = self.edges(second)
+        known = whole_a and whole_b
+        if known:
+            get = self.ranks.get
+            for a, a_born, a_gone in rights:
+                for b, b_born, b_gone in lefts:
+                    if a_born <= b_gone and b_born < a_gone and (rank := get(a + b)) is not None and rank < a_gone and rank <= b_gone:
+                        known = False
+        if len(self._pairs) >= MEMORY:
+            self._pairs.clear()
+        self._pairs[key] = known
         return known
 
 
@@ -135,10 +175,55 @@ class Encoder:
         self.vocabulary = Vocabulary(ranks)
         self.pattern = regex.compile(pattern)
         self.remembered = _Remembered(self)
+        # How long a token can be that ends with two given bytes (or is one byte).
+        self._reach: dict[bytes, int] = {}
+        for token in ranks:
+            self._reach[token[-2:]] = max(len(token), self._reach.get(token[-2:], 0))
+        # The last tokens of all prefixes of the beginnings that many pieces share.
+        self._shared: dict[bytes, list[int]] = {}
 
     def piece(self, raw: bytes) -> tuple[int, ...]:
-        token = self.vocabulary.ranks.get(raw)
-        return (token,) if token is not None else tuple(Prefixes(self.vocabulary, raw).ids())
+        """``Prefixes(raw).ids()``, from the longest beginning that an earlier piece has had."""
+        ranks, shared = self.vocabulary.ranks, self._shared
+        token = ranks.get(raw)
+        if token is not None:
+            return (token,)
+        last: list[int] = []
+        for size in SHARED:
+            if size < len(raw) and (before := shared.get(raw[:size])) is not None:
+                last = before.copy()
+                break
+        get, pairs, pair, reach = ranks.get, self.vocabulary._pairs.get, self.vocabulary.pair, self._reach.get
+        for end in range(len(last) + 1, len(raw) + 1):
+            most = reach(raw[end - 2 : end], 1) if end > 1 else 1
+            if most > end:
+                most = end
+            for start in range(end - most, end):
+                token = get(raw[start:end])
+                if token is None:
+                    continue
+                if not start:
+                    if self.vocabulary.alone(token):
+                        break
+                    continue
+                fits = pairs(last[start - 1] << 20 | token)
+                if fits or fits is None and pair(last[start - 1], token):
+                    break
+            else:
+                raise ValueError(f"no token ends with byte {raw[end - 1]}")
+            last.append(token)
+        for size in SHARED:
+            if size < len(raw) and raw[:size] not in shared:
+                if len(shared) >= MEMORY // 2:
+                    shared.clear()
+                shared[raw[:size]] = last[:size]
+        sizes, out, end = self.vocabulary.sizes, [], len(raw)
+        while end:
+            token = last[end - 1]
+            out.append(token)
+            end -= sizes[token]
+        out.reverse()
+        return tuple(out)
 
     def pieces(self, text: str) -> list[str]:
         return self.pattern.findall(text)
@@ -146,8 +231,7 @@ class Encoder:
     def encode(self, text: str | None) -> list[int]:
         if not text:
             return []
-        if len(self.remembered) > MEMORY:
-            self.remembered.clear()
+        self.remembered.trim()
         return list(chain.from_iterable(map(self.remembered.__getitem__, self.pieces(text))))
 
     def decode(self, ids) -> bytes:
@@ -155,16 +239,25 @@ class Encoder:
 
 
 class _Remembered(dict):
+    """Ids of pieces; of those put aside when it grew full, the ones still in use come back."""
+
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.aside = encoder, {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = self.encoder.piece(piece.encode())
+        ids = self.aside.get(piece)
+        if ids is None:
+            ids = self.encoder.piece(piece.encode())
         if len(piece) <= 64:
             self[piece] = ids
         return ids
 
+    def trim(self) -> None:
+        if len(self) > MEMORY:
+            self.aside = dict(self)
+            self.clear()
+
 
 class Text:
     """An encoded text that can be edited: its pieces, their bounds and ids."""
@@ -211,11 +304,15 @@ class Text:
 def _encoder_of(spark: SparkSession, path: str, pattern: str):
     """A function for the workers; the ranks travel once per executor, as the file's bytes."""
     with open(path, "rb") as file:
-        content = spark.sparkContext.broadcast(file.read())  # the vocabulary, of fixed size
+        # A worker keeps what it was sent, and with it the encoder made of it, from task to task.
+        sent = spark.sparkContext.broadcast({"file": file.read()})  # the vocabulary, of fixed size
 
     def make() -> Encoder:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.value.splitlines())}
-        return Encoder(ranks, pattern)
+        held = sent.value
+        if "encoder" not in held:
+            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, held["file"].splitlines())}
+            held["encoder"] = Encoder(ranks, pattern)
+        return held["encoder"]
 
     return make
 
