@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 #: Python workers get texts in batches of about this many bytes.
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def limit_batches(spark: SparkSession) -> None:
@@ -21,19 +22,15 @@ def limit_batches(spark: SparkSession) -> None:
         ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES),
         ("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS),
     ):
-        now = int(str(spark.conf.get(key)).lower().rstrip("b") or 0)
-        if now <= 0 or now > most:
+        now = str(spark.conf.get(key))
+        if not now.isdigit() or not 0 < int(now) <= most:
             spark.conf.set(key, str(most))
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or in local mode the warehouse."""
+    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset one in the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints"
-    return folder.rstrip("/")
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -53,8 +50,26 @@ def stage(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    # Shuffle files are of no use once the table is written; else they stay until the driver's next
+    # garbage collection.
+    before = spark.conf.get(_CLEANUP, None)
+    try:
+        if before is not None:
+            spark.conf.set(_CLEANUP, "true")
+        df.write.parquet(path)
+    finally:
+        if before is not None:
+            spark.conf.set(_CLEANUP, before)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.staged_path = path
+    return out
+
+
+def discard(staged: DataFrame) -> None:
+    """Remove a staged table that nothing reads any more."""
+    jvm = staged.sparkSession._jvm
+    path = jvm.org.apache.hadoop.fs.Path(staged.staged_path)
+    path.getFileSystem(staged.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

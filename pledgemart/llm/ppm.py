@@ -19,6 +19,7 @@ The base is a smoothed unigram model over words with the same training texts.
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from functools import reduce
@@ -28,10 +29,10 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
-from pledgemart.llm.common import byte_slices, limit_batches, pick, stage, text_bytes
+from pledgemart.llm.common import byte_slices, discard, limit_batches, pick, stage
 
 ORDER = 4
-CHUNK_BYTES = 16 << 20
+CHUNK_BYTES = 32 << 20
 #: A symbol takes nine bits: 0 before the text, 1 to 256 a byte, 257 the end.
 BITS, START, END, ALPHABET = 9, 0, 257, 257
 HELD_OUT, FOLDS = 2, 7
@@ -61,24 +62,39 @@ def five_symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def chunked(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
-    """doc_id, text (A-Z lower-cased, null as empty), held_out and the chunk of every row, staged."""
+    """doc_id, packed, held_out and the chunk of every row, staged.
+
+    ``packed`` is the text with A-Z lower-cased, null as empty, compressed: it is stored and moved once.
+    """
     limit_batches(docs.sparkSession)
     rows = pick(docs, "doc_id", "text")
     fold = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % FOLDS
     text = F.translate(F.coalesce("text", F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
     rows = rows.select("doc_id", text.alias("text"), (fold == HELD_OUT).alias("held_out"))
-    schema = T.StructType([*rows.schema, T.StructField("chunk", T.LongType())])
+    schema = T.StructType([
+        rows.schema["doc_id"], T.StructField("packed", T.BinaryType()), rows.schema["held_out"], T.StructField("chunk", T.LongType()),
+    ])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, seen = TaskContext.get().partitionId() << 32, 0
         for batch in (part for whole in batches for part in byte_slices(whole, "text")):
             chunks = pa.array(np.full(batch.num_rows, first + seen // chunk_bytes))
-            seen += batch.get_total_buffer_size()
-            yield pa.RecordBatch.from_arrays([*batch.columns, chunks], names=schema.fieldNames())
+            raw = [text.as_py().encode() for text in batch.column(1)]
+            seen += sum(map(len, raw))
+            packed = pa.array([zlib.compress(text, 1) for text in raw], pa.binary())
+            yield pa.RecordBatch.from_arrays([batch.column(0), packed, batch.column(2), chunks], names=schema.fieldNames())
 
     return stage(rows.mapInArrow(run, schema))
 
 
+def _unpacked(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[bytes], np.ndarray, np.ndarray]]:
+    """Runs of rows with their texts, the texts' fives, and where those of each text begin."""
+    for part in byte_slices(batch, "packed", 1 << 20):
+        raw = [zlib.decompress(packed.as_py()) for packed in part["packed"]]
+        offsets = np.cumsum([0, *map(len, raw)])
+        yield part, raw, *five_symbols(np.frombuffer(b"".join(raw), np.uint8), offsets)
+
+
 _KEYS = T.StructType([
     T.StructField("chunk", T.LongType()), T.StructField("word", T.StringType()), T.StructField("five", T.LongType()), T.StructField("n", T.LongType()),
 ])
@@ -92,17 +108,18 @@ class _Counts:
         self.fives: list[tuple[np.ndarray, np.ndarray]] = []
 
     def add(self, batch: pa.RecordBatch) -> None:
-        held = batch.column(2).to_numpy(zero_copy_only=False)
-        for text, out in zip(batch.column(1), held, strict=True):
-            words = text.as_py().encode().split()
-            if out:
-                for word in set(words):
-                    self.words[word] += 0
-            else:
-                self.words.update(words)
-        data, offsets = text_bytes(batch.column(1))
-        keys, starts = five_symbols(data, offsets)
-        train = np.repeat(~held, np.diff(starts))
+        for part, raw, keys, starts in _unpacked(batch):
+            held = part["held_out"].to_numpy(zero_copy_only=False)
+            for text, out in zip(raw, held, strict=True):
+                words = text.split()
+                if out:
+                    for word in set(words):
+                        self.words[word] += 0
+                else:
+                    self.words.update(words)
+            self._add_fives(keys, np.repeat(~held, np.diff(starts)))
+
+    def _add_fives(self, keys: np.ndarray, train: np.ndarray) -> None:
         self.fives.append(np.unique(keys[train], return_counts=True))
         other = np.unique(keys[~train])
         self.fives.append((other, np.zeros(len(other), np.int64)))
@@ -137,8 +154,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield from counts.batches(at)
                 counts = _Counts()
             at = int(chunks[start])
-            for part in byte_slices(batch.slice(start, end - start), "text"):
-                counts.add(part)
+            counts.add(batch.slice(start, end - start))
     if at is not None:
         yield from counts.batches(at)
 
@@ -229,15 +245,14 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
         order = np.argsort(fives, kind="stable")
         fives, codes = fives[order], value[~is_word][order]
         out = []
-        for batch in (p for b in texts.to_batches() for p in byte_slices(b, "text")):
+        for batch, raw, keys, starts in (x for b in texts.to_batches() for x in _unpacked(b)):
             n_tokens, n_known, base = [], [], []
-            for text in batch["text"]:
-                found = text.as_py().encode().split()
+            for text in raw:
+                found = text.split()
                 n = np.fromiter(map(counts.__getitem__, found), np.float64, len(found))
                 n_tokens.append(len(found) + 1)
                 n_known.append(int((n > 0).sum()) + (ends > 0))
                 base.append(float(np.log10(n + 1).sum()) - len(found) * scale + end)
-            keys, starts = five_symbols(*text_bytes(batch["text"]))
             logp = np.add.reduceat(codes[np.searchsorted(fives, keys)], starts[:-1])
             out.append(pa.RecordBatch.from_arrays(
                 [batch["doc_id"], batch["held_out"], pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base, pa.float64()), pa.array(logp)],
@@ -245,5 +260,7 @@ def score(docs: DataFrame, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
             ))
         return pa.Table.from_batches(out) if out else pa.Table.from_batches([], schema=pa.schema(zip(schema.fieldNames(), [texts.schema.field("doc_id").type, pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()])))
 
+    values = stage(values)
+    discard(keys)
     scored = rows.groupBy("chunk").cogroup(values.groupBy("chunk")).applyInArrow(run, schema)
     return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(tokens).cast("bigint").alias("train_tokens"), "base_score", "score")
