@@ -239,9 +239,14 @@ def find(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = GRAM, fil
 
 
 def clean(docs: DataFrame, items: DataFrame, span: int = SPAN, k: int = GRAM) -> DataFrame:
-    """``docs`` without the rows that share a window with an item; columns and texts stay as they are."""
+    """``docs`` without the rows that share a window with an item; columns and texts stay as they are.
+
+    Whether a row goes depends on its text alone, so rows are told by a 64-bit hash of it. The
+    hashes are staged so that their size is known when Spark chooses how to take them out.
+    """
     names = docs.columns
-    plain = stage(docs.toDF(*(f"_{i}" for i in range(len(names)))).withColumn("row", F.monotonically_increasing_id()))
-    body = plain.select(F.col("row").alias("doc_id"), F.col(f"_{names.index('text')}").alias("text"))
-    dirty = find(body, items, span, k).per_document().filter("contaminated").select(F.col("doc_id").alias("row"))
-    return plain.join(dirty, "row", "left_anti").drop("row").toDF(*names)
+    plain = docs.toDF(*(f"_{i}" for i in range(len(names))))
+    text = F.col(f"_{names.index('text')}")
+    body = plain.select(F.xxhash64(text).alias("doc_id"), text.alias("text"))
+    dirty = find(body, items, span, k).per_document().filter("contaminated").select(F.col("doc_id").alias("key")).distinct()
+    return plain.withColumn("key", F.xxhash64(text)).join(stage(dirty), "key", "left_anti").drop("key").toDF(*names)

@@ -171,14 +171,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mask`` and ``n_chars``, if there, counted anew.
 
-    All rows and columns stay. Secrets are joined by a hash of the text, one row per text.
+    All rows and columns stay. Secrets are joined by a hash of the text, one row per text, from a
+    staged table whose size is known when Spark chooses how to join it.
     """
     names = docs.columns
     secrets = scan(docs).filter("is_secret").groupBy("text_key").agg(F.collect_set("candidate").alias("secrets"))
     longest = F.sort_array(F.transform("secrets", lambda s: F.struct((-F.length(s)).alias("n"), s.alias("s"))))
     plain = docs.toDF(*(f"_{i}" for i in range(len(names))))
     text = f"_{names.index('text')}"
-    joined = plain.withColumn("text_key", F.xxhash64(text)).join(secrets, "text_key", "left")
+    joined = plain.withColumn("text_key", F.xxhash64(text)).join(stage(secrets), "text_key", "left")
     masked = F.aggregate(longest, F.col(text), lambda t, s: F.replace(t, s["s"], F.lit(mask)))
     out = joined.withColumn(text, F.when(F.col("secrets").isNull(), F.col(text)).otherwise(masked))
     if "n_chars" in names:

@@ -163,6 +163,10 @@ def keep_one(docs: DataFrame, words: int = SHINGLE_WORDS, most_bits: int = MOST_
     distinct = stage(keyed.groupBy("fp").agg(F.min(order).alias("first")))
     roots = components(stage(links(distinct.select("fp"), most_bits)))
     named = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left")
-    kept = named.groupBy(F.coalesce("root", "fp").alias("group")).agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.row_key").alias("row_key"))
-    return keyed.join(kept, "row_key", "left_semi").select(*plain.columns).toDF(*columns)
+    named = named.select("fp", "first", F.coalesce("root", "fp").alias("group"))
+    kept = named.groupBy("group").agg(F.min("first").alias("kept"))
+    by_fp = named.select("fp", "group").join(kept, "group").select("fp", F.col("kept.row_key").alias("kept_key"))
+    # Only keys are moved to find the rows that go. They are staged so that their size is known
+    # when Spark chooses how to take them out of the texts.
+    gone = stage(keyed.select("row_key", "fp").join(by_fp, "fp").filter("row_key != kept_key").select("row_key"))
+    return keyed.join(gone, "row_key", "left_anti").select(*plain.columns).toDF(*columns)
