@@ -6,7 +6,8 @@ and the split lies where that side has the same share of the bytes. So the leave
 nearly equal bytes for any number of shards; with a target size instead of a number, the number is
 what the target asks for.
 
-Dimensions are numbers from 0 to 1: source, language, length and id. Ties within a dimension are
+Dimensions are numbers from 0 to 1: source, language, length and id. The number of a source or language
+is its place among the bytes of all, in the order of the whole texts. Ties within a dimension are
 broken by a hash, so a split can go through a value that a third of all rows share. A weighted
 median is found by counting bytes in 1,024 bins of every node's range, then again within the bin
 that holds it, until the bin is as good as one document. Each round is one aggregation over the
@@ -15,6 +16,7 @@ narrow metadata rows; what comes to the driver is bins, never rows.
 
 from __future__ import annotations
 
+import json
 import math
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -30,18 +32,12 @@ KEY_BITS = DIM_BITS + TIE_BITS
 TOLERANCE = 1 / 2000
 
 
-def _text_place(value: Column) -> Column:
-    """A whole number of DIM_BITS that orders texts by their first three bytes; null is 0."""
-    head = F.rpad(F.substring(F.hex(F.coalesce(value.cast("string"), F.lit(""))), 1, 6), 6, "0")
-    return F.conv(head, 16, 10).cast("bigint")
-
-
 def metadata(docs: DataFrame, overhead: int = OVERHEAD_BYTES) -> DataFrame:
-    """doc_id, size, text_crc32, uid, tie and the whole number of each dimension, before scaling."""
+    """doc_id, size, text_crc32, uid, tie and the value of each dimension: text for source and lang, else a number."""
     there = [c for c in ("source", "lang") if c in docs.columns]
     rows = pick(docs, "doc_id", "text", *there)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("bigint")
-    made = {c: _text_place(F.col(c)) if c in there else F.lit(0).cast("bigint") for c in ("source", "lang")}
+    made = {c: (F.col(c) if c in there else F.lit(None)).cast("string") for c in ("source", "lang")}
     rows = rows.select(
         "doc_id", (size + overhead).alias("size"), F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
         F.monotonically_increasing_id().alias("uid"), *(v.alias(k) for k, v in made.items()),
@@ -50,11 +46,40 @@ def metadata(docs: DataFrame, overhead: int = OVERHEAD_BYTES) -> DataFrame:
     tie = F.xxhash64("doc_id", "text_crc32").bitwiseAND(F.lit(0xFFFF)) * (1 << 16) + F.xxhash64("uid").bitwiseAND(F.lit(0xFFFF))
     place = F.col("doc_id").cast("double")
     return rows.select(
-        "doc_id", "size", "text_crc32", "uid", tie.alias("tie"), F.col("source").cast("double").alias("source"),
-        F.col("lang").cast("double").alias("lang"), F.log2(F.col("size").cast("double")).alias("length"), F.coalesce(place, F.lit(0.0)).alias("id"),
+        "doc_id", "size", "text_crc32", "uid", tie.alias("tie"), "source", "lang",
+        F.log2(F.col("size").cast("double")).alias("length"), F.coalesce(place, F.lit(0.0)).alias("id"),
     )
 
 
+def _text_places(rows: DataFrame, name: str) -> DataFrame:
+    """A row per distinct text of the column, null first in order: ``{name}_text`` and its place.
+
+    The place is the middle of its bytes in the order of whole texts, as a share of all bytes. Texts are
+    summed up within ranges of the order, each offset by the ranges before, so many texts do no harm.
+    """
+    texts = rows.groupBy(F.col(name).alias("t")).agg(F.sum("size").alias("w"))
+    texts = stage(texts.orderBy(F.asc_nulls_first("t")).withColumn("range", F.spark_partition_id()))
+    before, total = {}, 0
+    for r in sorted(texts.groupBy("range").agg(F.sum("w").alias("w")).collect()):  # one row per partition of the sort
+        before[r.range] = total
+        total += r.w
+    start = F.lit(0).cast("bigint")
+    if before:
+        start = F.get(F.from_json(F.lit(json.dumps([before.get(i, 0) for i in range(max(before) + 1)])), "array<bigint>"), F.col("range"))
+    within = F.expr("sum(w) OVER (PARTITION BY range ORDER BY t NULLS FIRST ROWS UNBOUNDED PRECEDING)")
+    # Staged, so that its size is known when Spark chooses how to join it.
+    return stage(texts.select(F.col("t").alias(f"{name}_text"), ((start + within - F.col("w") / 2) / F.lit(float(max(1, total)))).alias("place")))
+
+
+def _placed(rows: DataFrame) -> DataFrame:
+    """The rows with numbers for source and lang."""
+    for name in ("source", "lang"):
+        places = _text_places(rows, name)
+        rows = rows.withColumnRenamed(name, f"{name}_row").join(places, F.col(f"{name}_row").eqNullSafe(F.col(f"{name}_text")))
+        rows = rows.withColumnRenamed("place", name).drop(f"{name}_row", f"{name}_text")
+    return rows
+
+
 def _keys(rows: DataFrame) -> DataFrame:
     """The rows with one key per dimension: its value scaled to DIM_BITS, then the tie."""
     ends = rows.agg(*(f(d).alias(f"{n}_{d}") for d in DIMENSIONS for n, f in (("lo", F.min), ("hi", F.max)))).first()
@@ -142,7 +167,7 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
     total = rows.agg(F.sum("size")).first()[0] or 0
     if shards is None:
         shards = max(1, math.ceil(total / target_bytes))
-    rows = stage(_keys(rows))
+    rows = stage(_keys(_placed(rows)))
     nodes = {0: _Node(0, shards)}
     next_id = 1
     while total and any(node.shards > 1 for node in nodes.values()):

@@ -1,5 +1,7 @@
 import zlib
 
+import pytest
+
 from pledgemart.llm import kd_shards
 
 
@@ -43,3 +45,24 @@ def test_target_bytes_and_odd_rows(spark, awkward, documents):
     assert kd_shards.assign(awkward, shards=3).count() == awkward.count()
     assert kd_shards.assign(documents.limit(0), shards=4).count() == 0
     assert kd_shards.assign(documents.limit(0), target_bytes=4).count() == 0
+
+
+@pytest.mark.parametrize("name", ["source", "lang"])
+def test_texts_with_a_long_common_prefix_are_split(spark, name):
+    """The shard of every row is that of its source (or language) alone; the first of them is null."""
+    other = {"source": "lang", "lang": "source"}[name]
+    value = "if(k = 0, null, concat('https://crawl.example.org/2026/', k))"
+    docs = spark.range(800).selectExpr("id * 37 % 8 k").selectExpr("0L doc_id", "repeat(k, 4) text", f"{value} {name}", f"'x' {other}")
+    by = check(docs, 8, 1)
+    crcs = [zlib.crc32(str(k).encode() * 4) for k in range(8)]
+    assert [{r.text_crc32 for r in by[i]} for i in range(8)] == [{c} for c in crcs]
+
+
+def test_many_texts_are_placed_in_order(spark):
+    rows = spark.range(500).selectExpr("if(id = 7, null, lpad(id, 40, 's')) source", "id % 5 + 1 size")
+    got = sorted(kd_shards._text_places(rows, "source").collect(), key=lambda r: (r.source_text is not None, r.source_text or ""))
+    want, total = 0, sum(i % 5 + 1 for i in range(500))
+    sizes = {(None if i == 7 else str(i).rjust(40, "s")): i % 5 + 1 for i in range(500)}
+    for r in got:
+        assert abs(r.place - (want + sizes[r.source_text] / 2) / total) < 1e-12
+        want += sizes[r.source_text]
