@@ -27,8 +27,6 @@ SMOOTHING = 1.0
 PRIOR = 16.0
 #: The least mean log ratio that is kept.
 THRESHOLD = -0.065
-#: Trusted rows that the target is estimated from; of more, about so many, chosen by a hash of their id.
-TRUSTED_MOST = 50_000
 #: Base rule: at least so many words, and at most so many percent of them in repeated windows.
 MIN_WORDS = 20
 MOST_REPEATED_PERCENT = 30
@@ -108,16 +106,14 @@ def grams_of(words: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(single, pairs)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR, trusted_most: int = TRUSTED_MOST) -> list[float]:
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR) -> list[float]:
     """log(target / raw) of every bucket; raw counts cover all of ``docs`` (doc_id, text).
 
-    ``trusted`` (doc_id) names the target; ids that it repeats count once. Without a trusted row, or
+    ``trusted`` (doc_id) names the target, all of which is counted; ids that it repeats count once. Without a trusted row, or
     without words, all ratios are 0.
     """
     ids = trusted.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    share = min(1.0, trusted_most / max(1, ids.count()))
-    ids = ids.filter(F.pmod(F.xxhash64("doc_id"), F.lit(1 << 30)) <= int(share * (1 << 30)))
-    target = F.broadcast(ids.withColumn("trusted", F.lit(1)))  # trusted_most ids at most or nearly so
+    target = ids.withColumn("trusted", F.lit(1))
     grams = F.explode(_let(words_of(F.col("text")), lambda w: grams_of(w, buckets)))
     counts = (
         pick(docs, "doc_id", "text").join(target, "doc_id", "left")
