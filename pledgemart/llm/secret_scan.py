@@ -24,8 +24,7 @@ from pledgemart.llm.quality_rules import _let, words_of
 SHORTEST = 16
 #: Labelled findings that the forest is trained on; of more, about so many, chosen by a hash.
 TRAIN_MOST = 20_000
-#: Dictionary: words of 3 to 12 letters that the corpus has at least so often, the commonest first.
-DICTIONARY_WORDS = 5_000
+#: Dictionary: words of 3 to 12 letters that the corpus has at least so often.
 DICTIONARY_TIMES = 3
 TREES, DEPTH, SEED = 20, 6, 7
 MASK = "<SECRET>"
@@ -65,21 +64,19 @@ def candidates(docs: DataFrame) -> DataFrame:
     return found.select("doc_id", "source", "text_key", "w.*").select("*", runs)
 
 
-def dictionary(docs: DataFrame, most: int = DICTIONARY_WORDS, times: int = DICTIONARY_TIMES) -> list[float]:
+def dictionary(docs: DataFrame, times: int = DICTIONARY_TIMES) -> list[float]:
     """For every three letters (in a table of 32^3 places) 1 if a word of the dictionary has them, else 0.
 
-    Words are counted over all texts; the dictionary is a top-k of them, so what comes to the driver
-    has that size.
+    Words are counted over all texts; of the dictionary only its distinct threes come to the driver.
     """
     words = pick(docs, "text").select(F.explode(words_of(F.col("text"))).alias("word"))
     words = words.filter(F.length("word").between(3, 12)).groupBy("word").agg(F.count("*").alias("n")).filter(F.col("n") >= times)
-    lower = words.groupBy(F.regexp_replace(F.lower("word"), "[^a-z]", "").alias("word")).agg(F.sum("n").alias("n"))
-    top = lower.filter(F.length("word") >= 3).orderBy(F.desc("n"), "word").limit(most).collect()
+    lower = words.select(F.regexp_replace(F.lower("word"), "[^a-z]", "").alias("word")).filter(F.length("word") >= 3)
+    threes = F.transform(F.sequence(F.lit(1), F.length("word") - 2), lambda i: F.substring(F.col("word"), i, 3))
     table = [0.0] * (1 << 15)
-    for row in top:
-        codes = [ord(c) - 96 for c in row.word]
-        for a, b, c in zip(codes, codes[1:], codes[2:]):
-            table[a << 10 | b << 5 | c] = 1.0
+    for row in lower.select(F.explode(threes).alias("three")).distinct().collect():  # 26^3 at most
+        a, b, c = (ord(x) - 96 for x in row.three)
+        table[a << 10 | b << 5 | c] = 1.0
     return table
 
 

@@ -58,3 +58,12 @@ def test_without_both_labels_or_rows(spark, documents):
 def test_plan_is_native(spark, documents):
     plan = scan.scan(documents)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_dictionary_has_rarer_words_too(spark):
+    """Over 5,000 common words, and rarer ones of other letters."""
+    common = "concat(char(97 + id div 676 % 13), char(97 + id div 26 % 26), char(97 + id % 26))"
+    docs = spark.range(6000).selectExpr(f"repeat(concat({common}, ' '), 4) text").union(spark.createDataFrame([("Zyxw zyxw Zyxw Zyxw qqq qqq",)], "text string"))
+    table = scan.dictionary(docs)
+    place = lambda w: table[(ord(w[0]) - 96) << 10 | (ord(w[1]) - 96) << 5 | (ord(w[2]) - 96)]
+    assert place("zyx") == place("yxw") == place("iup") == 1.0 and place("qqq") == 0.0
