@@ -5,9 +5,10 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, simhash, token_totals, url_rules
+from pledgemart.llm import bpe, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, sentence_pieces, simhash, token_totals, url_rules
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -121,6 +122,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_frame(docs: DataFrame) -> DataFrame:
+    done = sentence_pieces.round_trip(docs, PIECE_MODEL)
+    return done.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13_frame(table(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -138,6 +152,7 @@ QUERIES = {
     "op8_kd_tree_shards": op8,
     "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
+    "op13_sentence_pieces": op13,
     "pipeline": pipeline,
 }
 #: SQL where DuckDB can say the same; the others are held against brute force in tests/llm.
