@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, sentence_pieces, simhash, token_totals, url_rules
+from pledgemart.llm import bpe, conversations, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, sentence_pieces, simhash, token_totals, url_rules
+from pledgemart.llm.common import pick
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
@@ -122,6 +123,31 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def damaged(conversations_table: DataFrame) -> DataFrame:
+    """The rows with faults put in by the checksum of conversation and turn; those that are lost are left out."""
+    known = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    rows = pick(conversations_table, "conv_id", "turn", "role", "text")
+    fault = F.crc32(F.concat(known("conv_id"), F.lit(":"), known("turn"))) % 20
+    rows = rows.select("conv_id", "turn", known("role").alias("role"), known("text").alias("text"), fault.alias("fault")).where("fault != 0")
+    text = F.when(F.col("fault") == 1, "").when(F.col("fault") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    times = F.explode(F.array_repeat(F.lit(0), F.when(F.col("fault") == 3, 2).otherwise(1)))
+    return rows.select("conv_id", "turn", F.when(F.col("fault") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"), times.alias("copy"))
+
+
+def op11_frame(turns: DataFrame) -> DataFrame:
+    """A report per conversation of the table, also of those of which no row is left."""
+    found = conversations.report(damaged(turns)).withColumnRenamed("conv_id", "conv")
+    whole = pick(turns, "conv_id").distinct()
+    return whole.join(found, whole.conv_id.eqNullSafe(found.conv), "left").select(
+        "conv_id", *(F.coalesce(c, F.lit(0).cast("bigint")).alias(c) for c in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")),
+        F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11_frame(table(spark, sf_dir, "conversations"))
+
+
 def op13_frame(docs: DataFrame) -> DataFrame:
     done = sentence_pieces.round_trip(docs, PIECE_MODEL)
     return done.select(
@@ -152,6 +178,7 @@ QUERIES = {
     "op8_kd_tree_shards": op8,
     "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
+    "op11_conversation_repair": op11,
     "op13_sentence_pieces": op13,
     "pipeline": pipeline,
 }
