@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from pledgemart.llm import bpe, conversations, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, sentence_pieces, simhash, token_totals, url_rules
+from pledgemart.llm import bpe, conversations, cotrain, decontam, kd_shards, ppm, quality_rules, secret_scan, sentence_pieces, simhash, token_totals, url_rules, va_clusters
 from pledgemart.llm.common import pick
 
 RANK_FILE = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -148,6 +150,24 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_frame(table(spark, sf_dir, "conversations"))
 
 
+def op12_frame(vectors: DataFrame) -> DataFrame:
+    file = va_clusters.VAFile(vectors)
+    found = file.cluster()
+    # One row per cluster: as many as there are centroids.
+    per = {r.cluster: int(r.d) for r in found.groupBy("cluster").agg(F.sum(F.col("distance").cast("decimal(38,0)")).alias("d")).collect()}
+    of = lambda values, kind: F.get(F.array(*(F.lit(v) for v in values)).cast(f"array<{kind}>"), F.col("cluster"))
+    k = max(1, len(file.centroids))
+    digests = [hashlib.sha256(",".join(map(str, c.tolist())).encode()).hexdigest() for c in file.centroids] or [None]
+    return found.select(
+        "vec_id", "cluster", "distance", of([per.get(i, 0) for i in range(k)], "bigint").alias("cluster_inertia"),
+        F.lit(sum(per.values())).cast("bigint").alias("inertia"), of(digests, "string").alias("centroid_sha256"),
+    )
+
+
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12_frame(table(spark, sf_dir, "embeddings"))
+
+
 def op13_frame(docs: DataFrame) -> DataFrame:
     done = sentence_pieces.round_trip(docs, PIECE_MODEL)
     return done.select(
@@ -179,6 +199,7 @@ QUERIES = {
     "op9_length_histogram": op9,
     "op10_forest_secret_scan": op10,
     "op11_conversation_repair": op11,
+    "op12_va_file_clusters": op12,
     "op13_sentence_pieces": op13,
     "pipeline": pipeline,
 }
