@@ -26,8 +26,10 @@ _FILES = "text string, source_key string, path_rank int, block_start bigint, lin
 def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
     """Text of the day's ``.json``, ``.jsonl`` and ``.json.gz`` files below both spellings of ``dt``.
 
-    What a file is decides how it is read, not its size. A ``.jsonl`` file whose first line stands
-    alone as a document is read by line, so that Spark can split it; every other file is one row.
+    The first line of a file decides how it is read, not its ending or size. A file whose first line
+    stands alone as a document is read by line, so that Spark can split it and holds a line at a time;
+    every other file is one row. Files are told apart by one look at their first lines; then each is
+    read in its own way only, as a filter on the file's name never opens the others.
     """
     root = f"{base.rstrip('/')}/{table}/dt={{{normalize_dt(dt)},{dashed_dt(dt)}}}"
     path = F.col("_metadata.file_path")
@@ -35,31 +37,36 @@ def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame
         F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("source_key"),
         F.when(path.contains(f"/dt={dashed_dt(dt)}/"), 1).otherwise(0).alias("path_rank"),
     ]
-
-    def text(ending: str, **options) -> DataFrame:
-        return spark.read.options(pathGlobFilter=f"*.{ending}", recursiveFileLookup=True).text(root, **options)
-
     whole_place = [F.lit(-1).cast("bigint").alias("block_start"), F.lit(0).cast("bigint").alias("line_no")]
     # Within a split, ids grow with the line; splits of a file are told apart by their start.
     line_place = [F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("line_no")]
+
+    def text(**options) -> DataFrame:
+        return spark.read.options(pathGlobFilter="*.{json,json.gz,jsonl}", recursiveFileLookup=True).text(root, **options)
+
     try:
-        whole = text("{json,json.gz}", wholetext=True).select(F.col("value").alias("text"), *shared, *whole_place)
-        lines = text("jsonl").select(F.col("value").alias("text"), *shared, *line_place)
-        whole_lines = text("jsonl", wholetext=True).select(F.col("value").alias("text"), *shared, *whole_place)
+        by_line, whole = text(), text(wholetext=True)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _FILES)
-    first = F.min_by("text", F.struct("block_start", "line_no"))
-    heads = lines.where(F.col("text").rlike(r"\S")).groupBy("source_key").agg(first.alias("head"))
-    # Kept as rows of their own so that the filter is not pushed below the parsing.
-    documents = heads.select("source_key", _only(_as_items(F.make_valid_utf8("head"))).isNull().alias("odd")).where("odd")
-    return (
-        whole.unionByName(lines.join(documents, "source_key", "left_anti").select(whole.columns))
-        .unionByName(whole_lines.join(documents, "source_key", "left_semi").select(whole.columns))
+    # As many names as there are files that are one document; the file listing holds all names anyway.
+    documents = [row.path for row in _documents(by_line.select(F.col("value").alias("text"), path.alias("path"), *line_place)).collect()]
+    one = path.isin(documents) if documents else F.lit(False)
+    lines = by_line.where(~one) if documents else by_line
+    return lines.select(F.col("value").alias("text"), *shared, *line_place).unionByName(
+        whole.where(one).select(F.col("value").alias("text"), *shared, *whole_place)
     )
 
 
+def _documents(lines: DataFrame) -> DataFrame:
+    """``path`` of files whose first line that is not blank is no document of its own."""
+    first = F.min_by("text", F.struct("block_start", "line_no"))
+    heads = lines.where(F.col("text").rlike(r"\S")).groupBy("path").agg(first.alias("head"))
+    # A column of its own, so that the filter is not pushed below the parsing.
+    return heads.select("path", _only(_as_items(F.make_valid_utf8("head"))).isNull().alias("odd")).where("odd").select("path")
+
+
 def _as_items(text: Column) -> Column:
     """The text as the items of a JSON list; NULL if that is not JSON.
 
@@ -73,9 +80,15 @@ def _only(items: Column) -> Column:
     return F.when(F.size(items) == 1, F.get(items, F.lit(0)))
 
 
-def _documents_of(texts: Column) -> Column:
-    """VARIANT per text, NULL where a text is not exactly one JSON document."""
-    return F.transform(F.transform(texts, _as_items), _only)
+def _padded(text: Column) -> Column:
+    """Whether a field name may have spaces around it, which is rare, and worth a rewrite only then."""
+    return text.rlike(r'\s"\s*:|"\s[^"]*"\s*:')
+
+
+def _units_of(texts: Column) -> Column:
+    """(doc, padded) per text; ``doc`` is NULL where a text is not exactly one JSON document."""
+    read = F.transform(texts, lambda t: F.struct(_as_items(t).alias("items"), _padded(t).alias("padded")))
+    return F.transform(read, lambda u: F.struct(_only(u["items"]).alias("doc"), u["padded"].alias("padded")))
 
 
 def parse_documents(files: DataFrame, keep_bad: bool = False, max_document_bytes: int = MAX_DOCUMENT_BYTES) -> DataFrame:
@@ -84,30 +97,32 @@ def parse_documents(files: DataFrame, keep_bad: bool = False, max_document_bytes
     Blank lines are skipped and unreadable lines dropped, or kept with a NULL ``doc`` on request. A
     text that may be one document but is too large to be held as such stops the job with its file's
     name: it is as a whole above the limit, or a line of it is.
+
+    All that is told of a unit is told from its own text before the units become rows: behind that, an
+    expression over the text would run once per row and cost the square of a file's lines.
     """
     by_line = F.col("block_start") >= 0
+    unit = "struct<doc:variant,padded:boolean>"
     located = files.withColumn("text", F.make_valid_utf8("text"))
     parsed = located.withColumn("whole", _only(_as_items(F.col("text"))))
-    # Spaces around a document are left to the parser: trimming a large text is costly.
+    # Spaces around a document are left to the parser: trimming a large text is costly. The lines are a column
+    # of their own, split once, and only of a text that is not a document.
     lines = F.filter(F.split("text", r"\r\n|\n|\r"), lambda line: line.rlike(r"\S"))
+    parsed = parsed.withColumn("lines", F.when(F.col("whole").isNull() & ~by_line, lines))
     too_large = F.raise_error(F.concat(F.lit("a JSON document above Spark's size limit, land it in parts: "), "source_key"))
     # Only what one VARIANT could not hold is looked at closer: lines stand alone, a document does not.
     is_large = F.octet_length("text") > max_document_bytes
-    first_stands = _only(_as_items(F.get(lines, F.lit(0)))).isNotNull() & (F.size(lines) > 1)
-    long_line = F.exists(lines, lambda line: F.octet_length(line) > max_document_bytes)
+    first_stands = _only(_as_items(F.get("lines", F.lit(0)))).isNotNull() & (F.size("lines") > 1)
+    long_line = F.exists("lines", lambda line: F.octet_length(line) > max_document_bytes)
     units = (
-        F.when(F.col("whole").isNotNull(), F.array(F.col("whole")))
-        .when(is_large & (by_line | ~first_stands | long_line), too_large.cast("array<variant>"))
-        .when(by_line & ~F.col("text").rlike(r"\S"), F.array().cast("array<variant>"))
-        .when(by_line, F.array(F.lit(None).cast("variant")))
-        .otherwise(_documents_of(lines))
-    )
-    docs = parsed.select(
-        "source_key", "path_rank", "block_start", "line_no",
-        # A field name with spaces around it is rare, and worth a rewrite only where one may occur.
-        F.col("text").rlike(r'\s"\s*:|"\s[^"]*"\s*:').alias("padded"),
-        F.posexplode(units).alias("unit", "doc"),
+        F.when(F.col("whole").isNotNull(), F.array(F.struct(F.col("whole").alias("doc"), _padded(F.col("text")).alias("padded"))))
+        .when(is_large & (by_line | ~first_stands | long_line), too_large.cast(f"array<{unit}>"))
+        .when(by_line & ~F.col("text").rlike(r"\S"), F.array().cast(f"array<{unit}>"))
+        .when(by_line, F.array(F.lit(None).cast(unit)))
+        .otherwise(_units_of(F.col("lines")))
     )
+    docs = parsed.select("source_key", "path_rank", "block_start", "line_no", F.posexplode(units).alias("unit", "held"))
+    docs = docs.select("source_key", "path_rank", "block_start", "line_no", F.coalesce("held.padded", F.lit(False)).alias("padded"), "unit", F.col("held.doc").alias("doc"))
     return docs if keep_bad else docs.where(F.col("doc").isNotNull())
 
 

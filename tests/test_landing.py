@@ -2,6 +2,7 @@
 
 import gzip
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,3 +198,45 @@ def test_flatten_comments_handles_missing_and_null_replies(spark):
         "campaign_id", F.try_variant_get("raw", "$.boardId", "int"), "depth", "status").collect()
     assert sorted(tuple(r) for r in got) == [
         (1, 1, 0, "success"), (1, 2, 1, "success"), (1, 3, 1, "success"), (1, 4, 0, "success"), (2, 5, 0, "success")]
+
+
+def _lines_document(spark, n):
+    text = "\n".join('{"a":%d,"b":[1,2]}' % i for i in range(n))
+    return landing.parse_documents(landing.with_file_position(spark.createDataFrame([(text, "k")], "text string, source_key string")))
+
+
+def test_time_grows_with_the_lines_of_a_file_and_not_with_their_square(spark):
+    def seconds(n):
+        docs = _lines_document(spark, n)
+        times = []
+        for _ in range(3):
+            start = time.perf_counter()
+            docs.write.format("noop").mode("overwrite").save()
+            times.append(time.perf_counter() - start)
+        return min(times)
+
+    assert _lines_document(spark, 5000).count() == 5000
+    seconds(500)  # compiled
+    assert seconds(80000) <= 5 * seconds(20000)
+
+
+def test_behind_the_units_nothing_looks_at_the_text(spark):
+    plan = _lines_document(spark, 3)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    at = next(i for i, line in enumerate(plan) if "Generate posexplode" in line)
+    assert at and not any(word in line for line in plan[:at] for word in ("text#", "lines#", "RLIKE"))
+
+
+def test_line_files_are_never_opened_as_wholes(spark, land):
+    for i in range(5):
+        land(f"lines{i}.json", '{"a":1}\n{bad\n{"a":2}\n')
+    land("zip.json.gz", '{"a":3}\n{"a":4}\n')
+    land("document.json", '{\n "a": 5\n}')
+    files = landing.read_files(spark, land.base, "preorder", DT)
+    assert files.count() == 5 * 3 + 2 + 1 and files.where("block_start < 0").count() == 1
+    files.collect()
+    opened, leaves = {}, files._jdf.queryExecution().executedPlan().collectLeaves()
+    for i in range(leaves.size()):
+        metrics = leaves.apply(i).metrics()
+        opened[i] = metrics.get("numFiles").get().value()
+    assert sorted(opened.values()) == [1, 6]
+    assert sorted(r["a"] for r in payloads(spark, land)) == [1] * 5 + [2] * 5 + [3, 4, 5]
