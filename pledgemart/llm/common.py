@@ -56,11 +56,14 @@ def stage(df: DataFrame) -> DataFrame:
     try:
         if before is not None:
             spark.conf.set(_CLEANUP, "true")
-        df.write.parquet(path)
+        # By place, as names may differ in their case only.
+        names = [f"_{i}" for i in range(len(df.columns))]
+        plain = df.toDF(*names)
+        plain.write.parquet(path)
     finally:
         if before is not None:
             spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
     out.staged_path = path
     return out
 
