@@ -10,6 +10,7 @@ from pledgemart.functions.measures import (
 )
 from pledgemart.operators.dedup import first_per_group
 from pledgemart.operators.history import change, change_rate, with_previous
+from pledgemart.operators.partials import day_partials, merge_partials
 from pledgemart.operators.quality import assert_public
 
 _CAMPAIGN = "campaign_id"
@@ -61,6 +62,37 @@ def supporter_totals(supporter: DataFrame, as_of_dt: str | None = None) -> DataF
     )
 
 
+def supporter_partials(supporter: DataFrame, numbers: DataFrame) -> DataFrame:
+    """What ``supporter_totals`` needs of each campaign and day, to be stored by day and merged."""
+    rows = _scan(supporter, "dt user_id_hash is_purchaser is_signer backing_amount")
+    bought = F.coalesce(F.col("is_purchaser"), F.lit(False))
+    return day_partials(
+        rows, numbers,
+        {"supporter_user_cnt": F.lit(True), "purchaser_cnt": bought, "signer_user_cnt": F.col("is_signer")},
+        {"supporter_backing_amount": F.when(bought, or_zero(F.col("backing_amount"))).otherwise(0), "payments": F.when(bought & F.col("backing_amount").isNotNull(), 1).otherwise(0)},
+    )
+
+
+def merged_supporter_totals(partials: DataFrame) -> DataFrame:
+    """``supporter_totals`` of all days in ``partials``."""
+    users = ["supporter_user_cnt", "purchaser_cnt", "signer_user_cnt"]
+    totals = merge_partials(partials, users, ["supporter_backing_amount", "payments"])
+    return totals.select(
+        _CAMPAIGN, *users, "supporter_backing_amount",
+        ratio(F.col("supporter_backing_amount"), F.col("payments")).alias("avg_supporter_backing_amount"),
+    )
+
+
+def funding_partials(fundings: DataFrame, numbers: DataFrame) -> DataFrame:
+    """What ``funding_totals`` needs of each campaign and day."""
+    rows = _scan(fundings, "dt user_id_hash amount")
+    return day_partials(rows, numbers, {"funding_user_cnt": F.lit(True)}, {"user_history_funding_amount": or_zero(F.col("amount"))})
+
+
+def merged_funding_totals(partials: DataFrame) -> DataFrame:
+    return merge_partials(partials, ["funding_user_cnt"], ["user_history_funding_amount"])
+
+
 def wish_totals(wishes: DataFrame, as_of_dt: str | None = None) -> DataFrame:
     rows = _scan(wishes, "user_id_hash", as_of_dt)
     return rows.groupBy(_CAMPAIGN).agg(F.count_distinct("user_id_hash").alias("wish_user_cnt"))

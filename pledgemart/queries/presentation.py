@@ -342,7 +342,7 @@ _MAKERS_SQL = with_views("SELECT DISTINCT maker_name FROM ad_preorder", "ad_preo
 
 def manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of the given tables, read whole."""
-    names = "region nation customer supplier part orders lineitem events conversations".split()
+    names = "region nation customer supplier part orders lineitem events conversations documents embeddings pages benchmark labels".split()
     return present.manifest({name: views.read(spark, sf_dir, name) for name in names})
 
 
@@ -350,7 +350,8 @@ _MANIFEST_SQL = "\nUNION ALL ".join(
     f"SELECT '{name}' AS \"table\", COUNT(*) AS rows, CAST({columns} AS BIGINT) AS columns, "
     f"CASE WHEN COUNT(*) > 0 THEN 'OK' ELSE 'EMPTY' END AS status FROM {name}"
     for name, columns in [("region", 2), ("nation", 3), ("customer", 5), ("supplier", 4), ("part", 6), ("orders", 6),
-                          ("lineitem", 11), ("events", 6), ("conversations", 4)])
+                          ("lineitem", 11), ("events", 6), ("conversations", 4), ("documents", 5), ("embeddings", 3),
+                          ("pages", 3), ("benchmark", 2), ("labels", 3)])
 
 QUERIES = {
     "d1_snapshot": snapshot,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -59,6 +60,55 @@ def write_mart(df: DataFrame, base: str, mart: str, database: str | None = None)
     return path
 
 
+def publish_mart(df: DataFrame, base: str, mart: str, database: str) -> str:
+    """Rebuild a mart so that no reader sees it half done, nor fails because files went away under it.
+
+    The rows go to a folder of their own; then one change of the catalogue points the table there. A reader that
+    has planned its query keeps the old folder, which ``drop_old_versions`` removes later. A mart whose columns
+    change is declared anew, which takes two changes of the catalogue.
+    """
+    spark, table = df.sparkSession, f"{database}.{mart}"
+    path = f"{base.rstrip('/')}/{mart}/version={uuid.uuid4().hex}"
+    df.write.parquet(path)
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    same = spark.catalog.tableExists(table) and [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
+    if same:
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{path}'")
+        spark.catalog.refreshTable(table)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        spark.catalog.createTable(table, path, source="parquet")
+    return path
+
+
+def publish_day(df: DataFrame, base: str, table: str, dt: str, database: str) -> str:
+    """Replace one day of a registered daily table in the same way: write aside, then point the day there.
+
+    Such days are read through the catalogue; the folder of the table itself only has days of ``overwrite_partition``.
+    """
+    spark, day = df.sparkSession, normalize_dt(dt)
+    path = f"{base.rstrip('/')}/_versions/{table}/{day}-{uuid.uuid4().hex}"
+    df.drop("dt").write.parquet(path)
+    spark.sql(f"ALTER TABLE {database}.{table} ADD IF NOT EXISTS PARTITION (dt='{day}') LOCATION '{path}'")
+    spark.sql(f"ALTER TABLE {database}.{table} PARTITION (dt='{day}') SET LOCATION '{path}'")
+    spark.catalog.refreshTable(f"{database}.{table}")
+    return path
+
+
+def drop_old_versions(spark: SparkSession, base: str, mart: str, database: str) -> list[str]:
+    """Remove the folders of a mart that its table does not point at; call it when no reader needs them any more."""
+    rows = spark.sql(f"DESCRIBE FORMATTED {database}.{mart}").where("col_name = 'Location'").collect()
+    now = rows[0].data_type.rstrip("/").rsplit("/", 1)[-1]
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{base.rstrip('/')}/{mart}")
+    files, gone = folder.getFileSystem(spark._jsc.hadoopConfiguration()), []
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        if name.startswith("version=") and name != now:
+            files.delete(status.getPath(), True)
+            gone.append(name)
+    return gone
+
+
 def create_public_views(spark: SparkSession, database: str, marts: Sequence[str]) -> list[str]:
     names = []
     for mart in marts:
