@@ -24,9 +24,11 @@ from pledgemart.llm.common import pick
 BUCKETS = 1 << 14
 SMOOTHING = 1.0
 #: N-grams per bucket, dealt out like the raw corpus, that are added to the target: rare ones say little.
-PRIOR = 16.0
-#: The least mean log ratio that is kept.
+PRIOR = 1.0
+#: The least mean log ratio that is kept, less NOISE times the relative error of an average bucket's target
+#: count: a small target says little of each n-gram, which goes away as it grows.
 THRESHOLD = -0.065
+NOISE = 0.5
 #: Base rule: at least so many words, and at most so many percent of them in repeated windows.
 MIN_WORDS = 20
 MOST_REPEATED_PERCENT = 30
@@ -106,14 +108,21 @@ def grams_of(words: Column, buckets: int = BUCKETS) -> Column:
     return F.concat(single, pairs)
 
 
-def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR) -> list[float]:
+class Ratios(list):
+    """log(target / raw) of every bucket, and the relative error of an average bucket of the target."""
+
+    error = 0.0
+
+
+def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING, prior: float = PRIOR) -> Ratios:
     """log(target / raw) of every bucket; raw counts cover all of ``docs`` (doc_id, text).
 
     ``trusted`` (doc_id) names the target, all of which is counted; ids that it repeats count once. Without a trusted row, or
     without words, all ratios are 0.
     """
     ids = trusted.filter("doc_id IS NOT NULL").select("doc_id").distinct()
-    target = ids.withColumn("trusted", F.lit(1))
+    # Sorted on both sides at every size: the trusted ids are not bounded, so they are not to be sent to all.
+    target = ids.withColumn("trusted", F.lit(1)).hint("merge")
     grams = F.explode(_let(words_of(F.col("text")), lambda w: grams_of(w, buckets)))
     counts = (
         pick(docs, "doc_id", "text").join(target, "doc_id", "left")
@@ -126,9 +135,11 @@ def log_ratios(docs: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoo
         raw[row.bucket] += row.raw
         good[row.bucket] += row.target
     if not any(good):
-        return [0.0] * buckets
+        return Ratios([0.0] * buckets)
     n_raw, n_good, weight = math.fsum(raw), sum(good), prior * buckets
-    return [math.log((g + weight * r / n_raw) / (n_good + weight)) - math.log(r / n_raw) for g, r in zip(good, raw, strict=True)]
+    out = Ratios(math.log((g + weight * r / n_raw) / (n_good + weight)) - math.log(r / n_raw) for g, r in zip(good, raw, strict=True))
+    out.error = math.sqrt(buckets / n_good)
+    return out
 
 
 def mean_log_ratio(words: Column, ratios: list[float]) -> Column:
@@ -148,7 +159,7 @@ def judge(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buc
     return _judged(pick(docs, "doc_id", "text"), log_ratios(docs, trusted, buckets), threshold).drop("text")
 
 
-def _judged(docs: DataFrame, ratios: list[float], threshold: float, *keep: str) -> DataFrame:
+def _judged(docs: DataFrame, ratios: Ratios, threshold: float, *keep: str) -> DataFrame:
     text = F.col("text")
 
     def all_of(words: Column) -> Column:
@@ -156,11 +167,15 @@ def _judged(docs: DataFrame, ratios: list[float], threshold: float, *keep: str)
 
     got = docs.withColumn("m", _let(words_of(text), all_of)).select("doc_id", "text", *keep, "m.*")
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words"))
-    return got.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("log_ratio") >= threshold))
+    return got.withColumn("base_failed", failed).withColumn("kept", ~failed & (F.col("log_ratio") >= threshold - NOISE * ratios.error))
 
 
 def keep_good(docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
-    """The rows of ``docs`` that are kept, with their columns."""
+    """The rows of ``docs`` that are kept, whole and with their columns, also of names that differ in case.
+
+    A null, empty or very short text fails the base rule; texts of any length are judged whole; repeated rows are
+    judged alike; an empty table gives an empty one.
+    """
     names = docs.columns
     ratios = log_ratios(docs, trusted, buckets)
     plain = docs.toDF(*(f"_{i}" for i in range(len(names))))

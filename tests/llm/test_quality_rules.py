@@ -37,13 +37,14 @@ def brute(docs, trusted, buckets=rules.BUCKETS):
             good.update(grams(text, buckets))
     n_raw, n_good, weight = sum(raw.values()) + buckets, sum(good.values()), rules.PRIOR * buckets
     share = lambda b: (raw[b] + 1) / n_raw
+    least = rules.THRESHOLD - rules.NOISE * (math.sqrt(buckets / n_good) if n_good else 0)
     out = []
     for doc_id, text in docs:
         c, g = counts(text), grams(text, buckets)
         ratios = [math.log((good[b] + weight * share(b)) / (n_good + weight) / share(b)) for b in g]
         mean = sum(ratios) / len(g) if g else 0.0
         failed = c[0] < 20 or 100 * c[4] > 30 * c[0]
-        out.append((doc_id, *c, failed, round(mean, 8), not failed and mean >= rules.THRESHOLD))
+        out.append((doc_id, *c, failed, round(mean, 8), not failed and mean >= least))
     return sorted(out, key=repr)
 
 
