@@ -16,6 +16,7 @@ the first old border that is met again.
 from __future__ import annotations
 
 import base64
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
 from itertools import chain
@@ -25,7 +26,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from pledgemart.llm.common import byte_slices, limit_batches, pick
+from pledgemart.llm.common import byte_slices, limit_batches, pick, text_bytes
+from pledgemart.llm.prefix_table import PrefixTable
 
 #: Pieces, and pairs of tokens, that a worker remembers at a time: 100 to 200 MB.
 MEMORY = 400_000
@@ -238,6 +240,30 @@ class Encoder:
         return b"".join(map(self.vocabulary.tokens.__getitem__, ids))
 
 
+class Column:
+    """Columns of texts to ids: all pieces of a batch are encoded at once, equal ones together."""
+
+    def __init__(self, ranks: dict[bytes, int], pattern: str):
+        tokens = {raw.decode("latin-1"): rank for raw, rank in ranks.items()}
+        self.table = PrefixTable(tokens, {s: r for s, r in tokens.items() if len(s) > 1}, whole=True)
+        self.pattern = regex.compile(pattern)
+
+    def encode(self, texts: pa.Array) -> pa.ListArray:
+        data, offsets = text_bytes(texts)
+        sizes, per_text = array("q"), array("q")
+        for text in texts.to_pylist():
+            pieces = self.pattern.findall(text) if text else ()
+            sizes.extend(map(len, pieces))
+            per_text.append(len(pieces))
+        ends = np.cumsum(np.frombuffer(sizes, np.int64)) if sizes else np.zeros(0, np.int64)
+        starts = np.flatnonzero((data & 0xC0) != 0x80)[np.append(0, ends[:-1])] if len(ends) else ends
+        ids, counts = self.table.encode(data.astype(np.uint32), starts)
+        if (ids < 0).any():
+            raise ValueError("a byte is not a token")
+        upto = np.append(0, np.cumsum(counts))[np.append(0, np.cumsum(np.frombuffer(per_text, np.int64)))]
+        return pa.ListArray.from_arrays(pa.array(upto, pa.int32()), pa.array(ids))
+
+
 class _Remembered(dict):
     """Ids of pieces; of those put aside when it grew full, the ones still in use come back."""
 
@@ -301,20 +327,19 @@ class Text:
         return list(chain.from_iterable(self.parts))
 
 
-def _encoder_of(spark: SparkSession, path: str, pattern: str):
-    """A function for the workers; the ranks travel once per executor, as the file's bytes."""
+def _made_of(spark: SparkSession, path: str, make):
+    """A function for the workers that gives them ``make`` of the ranks, which travel once per executor, as the file's bytes."""
     with open(path, "rb") as file:
-        # A worker keeps what it was sent, and with it the encoder made of it, from task to task.
+        # A worker keeps what it was sent, and with it what was made of it, from task to task.
         sent = spark.sparkContext.broadcast({"file": file.read()})  # the vocabulary, of fixed size
 
-    def make() -> Encoder:
+    def get():
         held = sent.value
-        if "encoder" not in held:
-            ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, held["file"].splitlines())}
-            held["encoder"] = Encoder(ranks, pattern)
-        return held["encoder"]
+        if "made" not in held:
+            held["made"] = make({base64.b64decode(token): int(rank) for token, rank in map(bytes.split, held["file"].splitlines())})
+        return held["made"]
 
-    return make
+    return get
 
 
 def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: str = "doc_id") -> DataFrame:
@@ -324,17 +349,14 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text", key: st
     """
     spark = docs.sparkSession
     limit_batches(spark)
-    make = _encoder_of(spark, path, pattern)
+    get = _made_of(spark, path, lambda ranks: Column(ranks, pattern))
     docs = pick(docs, key, text)
     schema = T.StructType([docs.schema[key], T.StructField("ids", T.ArrayType(T.IntegerType(), False))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = make()
+        column = get()
         for batch in (part for whole in batches for part in byte_slices(whole, text)):
-            ids = [np.array(encoder.encode(t.as_py()), np.int32) for t in batch.column(1)]
-            ends = np.cumsum([0, *map(len, ids)])
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.concatenate(ids)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), lists], names=schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([batch.column(0), column.encode(batch.column(1))], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
@@ -343,12 +365,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``encoded`` with a binary column ``decoded``: the bytes of the ids, of null ids null."""
     spark = encoded.sparkSession
     limit_batches(spark)
-    make = _encoder_of(spark, path, ".")
+    get = _made_of(spark, path, lambda ranks: {rank: token for token, rank in ranks.items()})
     schema = T.StructType([*encoded.schema, T.StructField("decoded", T.BinaryType())])
     place = encoded.columns.index(ids)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = make().vocabulary.tokens
+        tokens = get()
         for batch in batches:
             column = batch.column(place)
             for start in range(0, batch.num_rows, 256):

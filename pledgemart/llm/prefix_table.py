@@ -27,11 +27,14 @@ _SLOTS = 1 << 20
 
 
 class PrefixTable:
-    """``tokens``: strings and ids (below 2^24); ``ranks``: when strings of two or more symbols are made by a merge."""
+    """``tokens``: strings and ids (below 2^24); ``ranks``: when strings of two or more symbols are made by a merge.
 
-    def __init__(self, tokens: dict[str, int], ranks: dict[str, int]):
-        self.ranks = ranks
-        self.strings = {i: s for s, i in tokens.items()}
+    With ``whole`` a string that is itself a token is that token, also if its symbols do not merge to it.
+    """
+
+    def __init__(self, tokens: dict[str, int], ranks: dict[str, int], whole: bool = False):
+        self.ranks, self.whole = ranks, whole
+        self.strings, self._ids, self._most = {i: s for s, i in tokens.items()}, tokens, max(map(len, tokens), default=0)
         joined = [s for s in tokens if len(s) > 1]
         symbols = sorted({c for s in joined for c in s})
         if missing := [c for c in symbols if c not in tokens]:
@@ -172,13 +175,16 @@ class PrefixTable:
             left, state = left[again], self._fail[state[again]]
         return out
 
-    def _short(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of parts behind one another, and how many each has; ``codes`` are classes."""
+    def _short(self, codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of parts behind one another, how many each has, and the token of its symbols if they do not merge to it, else -1.
+
+        ``codes`` are classes.
+        """
         order = np.argsort(-sizes, kind="stable")
         starts, sizes = starts[order], sizes[order]
         active = len(sizes) - np.searchsorted(sizes[::-1], np.arange(sizes[0]), "right")  # parts longer than j
         last = np.zeros((int(sizes[0]), len(sizes)), np.int32)
-        state = np.zeros(len(sizes), np.int64)
+        state, unmade = np.zeros(len(sizes), np.int64), np.full(len(sizes), -1, np.int32)
         for j, n in enumerate(active.tolist()):
             state = self._step(state[:n], codes[starts[:n] + j])
             left, node = np.arange(n), self._nearest[state]
@@ -189,6 +195,9 @@ class PrefixTable:
                 fit = np.empty(len(left), bool)
                 fit[inner] = self._fit(last[before[inner], left[inner]], token[inner])
                 fit[~inner] = self._stands(token[~inner])
+                odd = ~inner & ~fit
+                odd[odd] = sizes[left[odd]] == j + 1
+                unmade[left[odd]] = token[odd]
                 last[j, left[fit]] = token[fit]
                 left, node = left[~fit], self._link[node[~fit]]
         # Read off from the ends, the k-th last token of all parts at a time.
@@ -206,7 +215,9 @@ class PrefixTable:
         out = np.empty(int(given.sum()), np.int32)
         for k, (w, token) in enumerate(taken, 1):
             out[into[w] - k] = token
-        return out, given
+        back = np.empty(len(sizes), np.int32)
+        back[order] = unmade
+        return out, given, back
 
     def _long(self, codes: np.ndarray) -> np.ndarray:
         """Ids of one part of any length, symbol after symbol."""
@@ -261,9 +272,20 @@ class PrefixTable:
         counts = np.ones(len(begins), np.int64)
         some, many = np.flatnonzero((sizes > 1) & (sizes <= LONG)), np.flatnonzero(sizes > LONG).tolist()
         if len(some):
-            ids, per_part, kind = self._distinct(symbols, codes, begins[some], sizes[some])
+            ids, per_part, kind, unmade = self._distinct(symbols, codes, begins[some], sizes[some])
+            if self.whole and (unmade >= 0).any():
+                strings = np.isin(begins[some], starts) & np.isin(begins[some] + sizes[some], np.append(starts, len(symbols)))
+                odd = np.flatnonzero(strings & (unmade[kind] >= 0))
+                token = unmade[kind[odd]]
+                kind[odd] = len(per_part) + np.arange(len(odd))
+                ids, per_part = np.append(ids, token), np.append(per_part, np.ones(len(odd), np.int64))
             counts[some] = per_part[kind]
-        alone = {i: self._long(codes[begins[i] : begins[i] + sizes[i]]) for i in many}
+        alone = {}
+        for i in many:
+            begin, end = int(begins[i]), int(begins[i] + sizes[i])
+            string = self.whole and end - begin <= self._most and begin in starts and (end == len(symbols) or end in starts)
+            token = self._ids.get("".join(map(chr, symbols[begin:end].tolist()))) if string else None
+            alone[i] = self._long(codes[begin:end]) if token is None else np.array([token], np.int32)
         for i, found in alone.items():
             counts[i] = len(found)
         ends = np.cumsum(counts)
@@ -283,7 +305,7 @@ class PrefixTable:
         return out, np.diff(total[bounds])
 
     def _distinct(self, symbols: np.ndarray, codes: np.ndarray, begins: np.ndarray, sizes: np.ndarray) -> tuple:
-        """Ids and counts of the distinct parts, and which of them each part is."""
+        """Ids and counts of the distinct parts, which of them each part is, and tokens that are not merged to."""
         hashes = span_hashes(symbols.view(np.uint8), 4 * begins, 4 * (begins + sizes))
         _, first, kind = np.unique(hashes, return_index=True, return_inverse=True)
         # Parts of equal hashes are compared; one that differs stands for itself.
@@ -296,5 +318,5 @@ class PrefixTable:
         odd = np.flatnonzero(~same)
         kind[odd] = len(first) + np.arange(len(odd))
         first = np.append(first, odd)
-        ids, per_part = self._short(codes, begins[first], sizes[first])
-        return ids, per_part, kind
+        ids, per_part, unmade = self._short(codes, begins[first], sizes[first])
+        return ids, per_part, kind, unmade

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from hypothesis import given, settings, strategies as st
@@ -22,6 +23,24 @@ def test_encodes_and_decodes_as_the_library_does(text):
     assert ENCODER.decode(ENCODER.encode(text)) == text.encode()
 
 
+COLUMN = bpe.Column(RANKS, public_tokenizers.PATTERN)
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.none() | st.text(max_size=60) | st.lists(st.sampled_from([*SOME, "=" * 70, " " * 130]), max_size=12).map("".join), max_size=6))
+def test_columns_are_encoded_as_the_library_does(texts):
+    assert COLUMN.encode(pa.array(texts, pa.string())).to_pylist() == [TRUE.encode_ordinary(t or "") for t in texts]
+
+
+def test_a_piece_that_is_a_token_is_that_token():
+    """Also where merging leads elsewhere, in short and in long pieces, but not within a piece."""
+    ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"ab": 257, b"abc": 300, b"xy" * 50: 301, b"xy": 258, b"yx": 259}
+    true = tiktoken.Encoding("odd", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    column = bpe.Column(ranks, public_tokenizers.PATTERN)
+    for texts in (["abc", "abcq", "abc abc", "qabc", "xy" * 50, "xy" * 51, "xy" * 50 + "1abc"], ["abc"], ["xy" * 50]):
+        assert column.encode(pa.array(texts)).to_pylist() == [true.encode_ordinary(t) for t in texts]
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.binary(min_size=1, max_size=40))
 def test_any_bytes_of_one_piece(raw):
