@@ -6,8 +6,8 @@ document is cut at a limit, for every limit, without looking at a document again
 
     left at limit c = tokens of documents up to c + c * documents longer than c
 
-The sums run within blocks of lengths and over the totals of blocks, so no task holds more than a
-block or the list of blocks; both grow with the longest document, not with their number.
+The sums run within blocks of lengths and over the totals of a fixed number of blocks. The histogram is
+written before it is read twice, so that texts are encoded once, and its quantiles make blocks of like size.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pledgemart.llm.bpe import token_counts
+from pledgemart.llm.common import stage
 
-BLOCK = 1024
+BLOCKS = 64
 
 
 def histogram(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -34,7 +35,10 @@ def with_sums(hist: DataFrame) -> DataFrame:
     tokens (of this length), docs_shorter, tokens_shorter, docs_longer, tokens_longer, and
     tokens_cut: the tokens left in all if documents are cut at this length.
     """
-    rows = hist.select("length", "docs", (F.col("length") * F.col("docs")).alias("tokens"), F.expr(f"length div {BLOCK}").alias("block"))
+    hist = stage(hist.select("length", "docs"))
+    borders = hist.agg(F.percentile_approx("length", [n / BLOCKS for n in range(1, BLOCKS)])).first()[0] or []
+    block = F.size(F.filter(F.array(*map(F.lit, borders)), lambda b: b < F.col("length")))
+    rows = hist.select("length", "docs", (F.col("length") * F.col("docs")).alias("tokens"), block.alias("block"))
     blocks = rows.groupBy("block").agg(F.sum("docs").alias("docs"), F.sum("tokens").alias("tokens"))
     up, down = Window.orderBy("block"), Window.orderBy(F.desc("block"))
     total = lambda c, order: (F.sum(c).over(order.rowsBetween(Window.unboundedPreceding, 0)) - F.col(c))
