@@ -32,6 +32,16 @@ def test_columns_are_encoded_as_the_library_does(texts):
     assert COLUMN.encode(pa.array(texts, pa.string())).to_pylist() == [TRUE.encode_ordinary(t or "") for t in texts]
 
 
+def test_columns_of_ids_are_decoded():
+    texts = ["", "one é漢字", None, "two " * 50]
+    ids = pa.array([None if t is None else TRUE.encode_ordinary(t) for t in texts], pa.list_(pa.int32()))
+    made = bpe.Bytes(RANKS)
+    assert made.of(ids).to_pylist() == [None if t is None else t.encode() for t in texts]
+    assert made.of(ids.slice(1, 2)).to_pylist() == [texts[1].encode(), None]
+    with pytest.raises(ValueError):
+        made.of(pa.array([[50256]], pa.list_(pa.int32())))
+
+
 def test_a_piece_that_is_a_token_is_that_token():
     """Also where merging leads elsewhere, in short and in long pieces, but not within a piece."""
     ranks = {bytes([b]): b for b in range(256)} | {b"bc": 256, b"ab": 257, b"abc": 300, b"xy" * 50: 301, b"xy": 258, b"yx": 259}
