@@ -1,13 +1,13 @@
 """Quality classifier by co-training of two views.
 
-One classifier sees the words of a text, the other its metadata: source, language, size and the form
-of the page (lines, signs, digits, capitals, repetition), but no word. Both start from the labelled
-rows. In every round each labels the unlabelled rows of a pool, and those it is sure of are added to
-the training rows of the other. At the end each view is calibrated on labelled rows that neither
-was trained on, and the two calibrated log odds are added (less the prior, which both contain).
-
-The classifiers are fitted on bounded samples, by the parameters below. The score is computed for
-every document from its whole text.
+One classifier sees the content of a text: its words, their length, digits, capitals. The
+other sees the page: source, language, size and form (lines, signs, repetition), but no word. Both start from the
+labelled rows. In every round each labels all other texts of the table, once each, and those it is sure
+of are added to the training rows of the other. At the end each view is calibrated on labelled rows that
+neither was trained on, and the two calibrated log odds are added (less the prior, which both contain).
+
+Only the labelled rows are a bounded sample, by the parameter below. The unlabelled texts of every round are
+all of them, and the score is computed for every document from its whole text.
 """
 
 from __future__ import annotations
@@ -18,13 +18,13 @@ from dataclasses import dataclass
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from pledgemart.llm.common import pick, stage
+from pledgemart.llm.common import discard, pick, stage
 from pledgemart.llm.quality_rules import words_of
 
-#: Labelled rows for fitting and calibration, and unlabelled rows of the pool; of more, about so many.
-LABELLED_MOST, POOL_MOST = 4_000, 4_000
+#: Labelled rows for fitting and calibration; of more, about so many, and the others count as unlabelled.
+LABELLED_MOST = 4_000
 ROUNDS, SURE = 3, 0.95
 #: A pseudo-label weighs so much of a given one.
 PSEUDO_WEIGHT = 0.5
@@ -33,13 +33,16 @@ CALIBRATION = 4
 WORD_FEATURES, META_FEATURES = 1 << 12, 1 << 8
 THRESHOLD = 0.5
 
-_NUMBERS = ["m_size", "m_lines", "m_signs", "m_digits", "m_capitals", "m_distinct", "m_word_length"]
+_CONTENT = ["t_digits", "t_capitals", "t_word_length"]
+_LAYOUT = ["m_size", "m_lines", "m_signs", "m_distinct"]
+_KINDS = ["m_source", "m_lang", "m_size_class"]
 
 
-def views(docs: DataFrame) -> DataFrame:
-    """doc_id and the two feature vectors, text_view and meta_view, of every row (doc_id, text).
+def counted(docs: DataFrame) -> DataFrame:
+    """What both views are made of, for every row (doc_id, text): its counts of hashed words and figures.
 
-    ``source`` and ``lang`` are used if they are there; null counts as a value of its own.
+    ``source`` and ``lang`` are used if they are there; null counts as a value of its own. ``text_key`` is a
+    hash of the text, the same for equal texts.
     """
     there = [c for c in ("source", "lang") if c in docs.columns]
     rows = pick(docs, "doc_id", "text", *there)
@@ -50,18 +53,26 @@ def views(docs: DataFrame) -> DataFrame:
     share = lambda count, whole: (count / F.greatest(whole, F.lit(1))).cast("double")
     of = lambda pattern: share(size - F.length(F.regexp_replace("text", pattern, "")), size)
     rows = rows.withColumns({
+        "text_key": F.xxhash64("text"),
+        "t_digits": of("[0-9]"), "t_capitals": of(r"\p{Lu}"),
+        "m_distinct": share(F.size(F.array_distinct("words")), n),
+        "t_word_length": share(F.length(F.regexp_replace("text", r"\s", "")), n) / 10,
         "m_size": F.log1p(size.cast("double")) / 10,
         "m_lines": 10 * share(size - F.length(F.translate("text", "\n", "")), size),
-        "m_signs": of(r"[^\p{L}\p{N}\s.,;:'-]"), "m_digits": of("[0-9]"), "m_capitals": of(r"\p{Lu}"),
-        "m_distinct": share(F.size(F.array_distinct("words")), n),
-        "m_word_length": share(F.length(F.regexp_replace("text", r"\s", "")), n) / 10,
+        "m_signs": of(r"[^\p{L}\p{N}\s.,;:'-]"),
         "m_size_class": F.concat(F.lit("s"), F.floor(F.log2(size + F.lit(1))).cast("string")),
     })
     rows = HashingTF(numFeatures=WORD_FEATURES, inputCol="words", outputCol="tf").transform(rows)
-    rows = Normalizer(inputCol="tf", outputCol="text_view").transform(rows)
-    rows = FeatureHasher(numFeatures=META_FEATURES, inputCols=["m_source", "m_lang", "m_size_class"], outputCol="kinds").transform(rows)
-    rows = VectorAssembler(inputCols=["kinds", *_NUMBERS], outputCol="meta_view").transform(rows)
-    return rows.select("doc_id", "text_view", "meta_view")
+    return rows.select("doc_id", "text_key", "tf", *_CONTENT, *_LAYOUT, *_KINDS)
+
+
+def views(rows: DataFrame) -> DataFrame:
+    """The rows of ``counted`` with the two feature vectors, text_view and meta_view, in place of their parts."""
+    rows = Normalizer(inputCol="tf", outputCol="words").transform(rows)
+    rows = VectorAssembler(inputCols=["words", *_CONTENT], outputCol="text_view").transform(rows)
+    rows = FeatureHasher(numFeatures=META_FEATURES, inputCols=_KINDS, outputCol="kinds").transform(rows)
+    rows = VectorAssembler(inputCols=["kinds", *_LAYOUT], outputCol="meta_view").transform(rows)
+    return rows.drop("tf", "words", "kinds", *_CONTENT, *_LAYOUT, *_KINDS)
 
 
 @dataclass
@@ -111,31 +122,48 @@ def _part(column: str, share: float) -> Column:
     return F.pmod(F.xxhash64(F.col(column), F.lit("part")), F.lit(1 << 30)) <= int(min(1.0, share) * (1 << 30))
 
 
-def _samples(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The sampled rows with their views: ``label`` is null in the pool. One row per id."""
+def _first(rows: DataFrame, key: str, *order: str) -> DataFrame:
+    """One row per key; a task drops the others of its rows before the shuffle."""
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    return rows.withColumn("place", place).where("place = 1").drop("place")
+
+
+def _samples(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The labelled rows, one per id, with ``label``; and all other texts, one row each."""
     given = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     given = given.filter("label = other").select("doc_id", F.col("label").cast("double").alias("label"))
-    ids = stage(pick(docs, "doc_id").filter("doc_id IS NOT NULL").distinct().join(given, "doc_id", "left"))
-    n = ids.agg(F.count("label").alias("given"), F.count("*").alias("all")).first()
-    shares = LABELLED_MOST / max(1, n.given), POOL_MOST / max(1, n.all - n.given)
-    chosen = ids.filter(F.when(F.col("label").isNull(), _part("doc_id", shares[1])).otherwise(_part("doc_id", shares[0])))
-    there = [c for c in ("source", "lang") if c in docs.columns]
-    few = F.broadcast(chosen)  # LABELLED_MOST + POOL_MOST ids, or nearly so
-    rows = pick(docs, "doc_id", "text", *there).join(few, "doc_id").dropDuplicates(["doc_id"])
-    return stage(views(rows).join(few, "doc_id"))
+    ids = stage(rows.select("doc_id").filter("doc_id IS NOT NULL").distinct().join(given, "doc_id"))
+    few = ids.filter(_part("doc_id", LABELLED_MOST / max(1, ids.count())))
+    # LABELLED_MOST ids, or nearly so; below, as many texts. Copies of a labelled text are left out of the rest.
+    known = stage(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", *_KINDS))
+    discard(ids)
+    rest = rows.join(F.broadcast(known.select("text_key").distinct()), "text_key", "left_anti")
+    return known, stage(_first(rest, "text_key", "doc_id", *_KINDS))
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
     """Co-train on ``docs`` (doc_id, text) and ``labels`` (doc_id, label: 1 good, 0 not)."""
-    rows = _samples(docs, labels).withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)))
-    counts = {(r.label, r.held): r["count"] for r in rows.filter("label IS NOT NULL").groupBy("label", (F.col("fold") == 0).alias("held")).count().collect()}
+    return _train(stage(counted(docs)), labels, rounds, sure)
+
+
+def _train(all_rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
+    known, rest = _samples(all_rows, labels)
+    try:
+        return _exchange(views(known), views(rest), rounds, sure)
+    finally:
+        discard(known)
+        discard(rest)
+
+
+def _exchange(known: DataFrame, pool: DataFrame, rounds: int, sure: float) -> Model:
+    rows = known.withColumn("fold", F.pmod(F.xxhash64("doc_id"), F.lit(CALIBRATION)))
+    counts = {(r.label, r.held): r["count"] for r in rows.groupBy("label", (F.col("fold") == 0).alias("held")).count().collect()}
     if any(not counts.get((label, held)) for label in (0.0, 1.0) for held in (False, True)):
         total = sum(counts.values())
         good = sum(n for (label, _), n in counts.items() if label == 1)
         return Model(None, None, {}, 0.0, good / total if total else 0.5)
-    given = rows.filter("label IS NOT NULL AND fold != 0").withColumn("weight", F.lit(1.0))
-    held = rows.filter("label IS NOT NULL AND fold = 0")
-    pool = rows.filter("label IS NULL").drop("label")
+    given = rows.filter("fold != 0").withColumn("weight", F.lit(1.0))
+    held = rows.filter("fold = 0")
     added = {"text": None, "meta": None}
     models: dict[str, LogisticRegressionModel] = {}
     for turn in range(rounds + 1):
@@ -144,7 +172,7 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float
             models[name] = _fit(train_on.select(f"{name}_view", "label", "weight"), f"{name}_view")
         if turn == rounds:
             break
-        judged = stage(_apply(models["meta"], _apply(models["text"], pool, "text"), "meta"))
+        judged = _apply(models["meta"], _apply(models["text"], pool, "text"), "meta")
         least = math.log(sure / (1 - sure))
         is_sure = lambda name: F.abs(F.col(f"{name}_odds")) >= least
         apart = F.signum("text_odds") != F.signum("meta_odds")
@@ -164,8 +192,9 @@ def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_score, meta_score, score, kept of every row of ``docs``.
 
-    Null texts count as empty and are scored like others; rows without an id are scored but not
-    trained on; ids with both labels are left out of the training; an empty table gives no rows.
+    Null texts count as empty and are scored like others, as are very long ones; rows without an id are
+    scored and may get pseudo-labels only; ids with both labels count as unlabelled; of several texts of a
+    labelled id one is taken, by its hash; other columns are ignored; an empty table gives no rows.
     """
-    model = train(docs, labels)
-    return model.score(views(docs)).withColumn("kept", F.col("score") >= threshold)
+    rows = stage(counted(docs))
+    return _train(rows, labels).score(views(rows)).withColumn("kept", F.col("score") >= threshold)

@@ -28,14 +28,33 @@ def test_rounds_add_rows_of_the_pool(spark, monkeypatch):
     assert all(slope > 0 for slope, _ in model.calibration.values())
 
 
-def test_samples_are_bounded(spark, monkeypatch):
+def test_labelled_rows_are_bounded_and_every_other_text_is_there_once(spark, monkeypatch):
     sf = "/root/testdata/sf0.01"
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     monkeypatch.setattr(cotrain, "LABELLED_MOST", 50)
-    monkeypatch.setattr(cotrain, "POOL_MOST", 60)
-    rows = cotrain._samples(docs.union(docs), labels_of(spark, sf))
-    given = rows.filter("label IS NOT NULL").count()
-    assert 25 < given < 100 and 30 < rows.count() - given < 120
+    known, rest = cotrain._samples(cotrain.counted(docs.union(docs)), labels_of(spark, sf))
+    assert 25 < known.count() < 100 and known.select("doc_id").distinct().count() == known.count()
+    texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).distinct().count()
+    assert rest.count() == texts - known.select("text_key").distinct().count()
+    # The row that stands for a text is the same in every run.
+    assert rest.exceptAll(cotrain._samples(cotrain.counted(docs.repartition(7)), labels_of(spark, sf))[1]).count() == 0
+
+
+def test_score_is_the_sum_of_the_calibrated_views(spark):
+    """Scores worked out by hand from the models' coefficients."""
+    import math
+
+    sf = "/root/testdata/sf0.001"
+    rows = cotrain.views(cotrain.counted(spark.read.parquet(f"{sf}/documents.parquet")))
+    model = cotrain.train(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), labels_of(spark, "/root/testdata/sf0.01"), rounds=1)
+    scores = {r.doc_id: r for r in model.score(rows).collect()}
+    for r in rows.collect():
+        odds = {}
+        for name, fitted in (("text", model.text), ("meta", model.meta)):
+            slope, start = model.calibration[name]
+            odds[name] = slope * (float(r[f"{name}_view"].dot(fitted.coefficients.toArray())) + fitted.intercept) + start
+        want = 1 / (1 + math.exp(-(odds["text"] + odds["meta"] - model.prior)))
+        assert abs(scores[r.doc_id].score - want) < 1e-9
 
 
 def test_awkward_rows_and_labels(spark, awkward):
