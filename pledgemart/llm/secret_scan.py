@@ -1,10 +1,11 @@
 """Secret scans: candidates by shape, false positives removed by a random forest.
 
-A candidate is a run of at least 16 characters of keys and tokens (letters, digits, + / _ = -). Most
-are long words, numbers or names. A forest judges each by its length, the transitions between
-character classes, how far its letters are those of the corpus's own words, signs of a path, and the
-words beside it. It is trained on labelled findings; ``weak_labels`` makes some from candidates that
-leave no doubt, where no table of them exists.
+A candidate is a run of at least 16 characters of keys and tokens (letters, digits, + / _ = -), or whatever
+a text puts behind a secret's name and = or :, of any signs and from 4 characters on. Most are long words,
+numbers or names. A forest judges each by its length, the transitions between character classes, how far its
+letters are those of the corpus's own words, signs of a path, and the words beside it. It is trained on
+labelled findings; where no table of them exists, ``weak_labels`` makes some from how a candidate is written
+down (named, assigned, quoted, in a URL). The forest does not see these, so it learns what secrets look like.
 
 All of it is column expressions and Spark's own forest.
 """
@@ -21,7 +22,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pledgemart.llm.common import pick, stage
 from pledgemart.llm.quality_rules import _let, words_of
 
-SHORTEST = 16
+SHORTEST, SHORTEST_NAMED = 16, 4
 #: Labelled findings that the forest is trained on; of more, about so many, chosen by a hash.
 TRAIN_MOST = 20_000
 #: Dictionary: words of 3 to 12 letters that the corpus has at least so often.
@@ -31,24 +32,32 @@ MASK = "<SECRET>"
 
 _RUN = r"[A-Za-z0-9+/_=-]{16,}"
 #: Words before a value that name it a secret.
-_NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth|bearer|credential)"
+_NAMES = r"(?i)(token|secret|passw|pwd|api.?key|access.?key|private.?key|auth(?!or)|bearer|credential)"
+_ASSIGNED = _NAMES + r"[A-Za-z0-9_.-]*[\"'`]?\s*[=:]+"
+_VALUE = r"[\"'`(]*([^\"'`,;\s]{4,})"
 _LOWER, _UPPER, _DIGIT = "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789"
 FEATURES = [
     "f_length", "f_transitions", "f_digits", "f_upper", "f_hex", "f_distinct", "f_letter_run", "f_coverage",
-    "f_slashes", "f_dashes", "f_in_url", "f_source", "f_named", "f_assigned", "f_quoted", "f_before_coverage",
+    "f_slashes", "f_dashes", "f_dots", "f_before_coverage", "f_after_coverage",
 ]
+#: How the candidate is written down: evidence for labels, which the forest does not see.
+EVIDENCE = ["f_in_url", "f_named", "f_assigned", "f_quoted"]
 
 
 def candidates(docs: DataFrame) -> DataFrame:
     """A row per candidate: doc_id, source, text_key, word_at, run_at, word, before, after, candidate.
 
-    ``word_at`` counts the words of the text from 0, ``run_at`` the runs within the word, ``before``
-    are up to three words in front. ``text_key`` is a hash of the text, the same for equal texts.
+    ``word_at`` counts the words of the text from 0, ``run_at`` the candidates within the word: its
+    runs, then named values that are none of them. ``before`` are up to three words in front. ``text_key`` is a hash of the text, the same for equal texts.
     """
+    # Cheap signs of an assignment; the patterns are tried on what these let through.
+    assigns = lambda w: F.contains(w, F.lit("=")) | F.contains(w, F.lit(":"))
+    ends = lambda w: F.coalesce(F.endswith(w, F.lit("=")) | F.endswith(w, F.lit(":")), F.lit(False))
+
     def around(words: Column) -> Column:
         places = F.when(F.size(words) > 0, F.sequence(F.lit(0), F.greatest(F.size(words) - 1, F.lit(0)))).otherwise(F.array().cast("array<int>"))
         return F.transform(
-            F.filter(places, lambda i: F.length(F.get(words, i)) >= SHORTEST),
+            F.filter(places, lambda i: (F.length(F.get(words, i)) >= SHORTEST) | assigns(F.get(words, i)) | ends(F.get(words, i - 1))),
             lambda i: F.struct(
                 i.alias("word_at"), F.get(words, i).alias("word"),
                 F.concat_ws(" ", *(F.get(words, i - k) for k in (3, 2, 1))).alias("before"),
@@ -60,8 +69,14 @@ def candidates(docs: DataFrame) -> DataFrame:
     docs = pick(docs, "doc_id", "text", *([] if source is None else ["source"]))
     label = F.lit(None).cast("string") if source is None else F.col("source").cast("string")
     found = docs.select("doc_id", label.alias("source"), F.xxhash64("text").alias("text_key"), F.explode(_let(words_of(F.col("text")), around)).alias("w"))
-    runs = F.posexplode(F.regexp_extract_all("word", F.lit(f"({_RUN})"))).alias("run_at", "candidate")
-    return found.select("doc_id", "source", "text_key", "w.*").select("*", runs)
+    runs = F.regexp_extract_all("word", F.lit(f"({_RUN})"))
+    within = F.regexp_extract_all("word", F.lit(_ASSIGNED + _VALUE), F.lit(2))
+    beside = F.when(F.col("before").rlike(_ASSIGNED + "$"), F.regexp_extract_all("word", F.lit("^" + _VALUE), F.lit(1))).otherwise(F.array().cast("array<string>"))
+    # A run that holds a name and reaches into its value gives way to the whole value.
+    taken = _let(F.struct(runs.alias("runs"), F.concat(within, beside).alias("named")), lambda c: F.when(F.size(c["named"]) == 0, c["runs"]).otherwise(
+        F.concat(F.filter(c["runs"], lambda r: ~r.rlike(_ASSIGNED + ".")), F.array_except(c["named"], c["runs"]))
+    ))
+    return found.select("doc_id", "source", "text_key", "w.*").select("*", F.posexplode(taken).alias("run_at", "candidate"))
 
 
 def dictionary(docs: DataFrame, times: int = DICTIONARY_TIMES) -> list[float]:
@@ -107,25 +122,27 @@ def features(found: DataFrame, table: list[float]) -> DataFrame:
         "f_distinct": F.size(F.array_distinct(F.split(c, ""))) / size,
         "f_letter_run": F.array_max(F.transform(F.split(c, "[^A-Za-z]+"), lambda x: F.length(x))).cast("double"),
         "f_coverage": _coverage(c, known),
-        "f_slashes": count("/"), "f_dashes": count("[-_]"), "f_in_url": flag(F.col("word").contains("://")),
-        "f_source": F.pmod(F.xxhash64("source"), F.lit(16)).cast("double"),
+        "f_slashes": count("/"), "f_dashes": count("[-_]"), "f_dots": count("[.]"),
+        "f_in_url": flag(F.col("word").contains("://")),
         "f_named": flag(F.concat_ws(" ", "before", "word").rlike(_NAMES)),
         "f_assigned": flag(F.col("before").rlike("[=:]$") | F.col("word").rlike("^[A-Za-z_.-]{2,30}[=:]")),
         "f_quoted": flag(F.col("word").rlike("[\"'`]")),
         "f_before_coverage": _coverage(F.substring_index("before", " ", -1), known),
+        "f_after_coverage": _coverage(F.col("after"), known),
     }
     return found.withColumns(made)
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """``found`` (with features) with ``label``: 1 for sure secrets, 0 for sure false positives, else null.
+    """``found`` (with features) with ``label``: 1 for likely secrets, 0 for likely false positives, else null.
 
-    Sure: a named and assigned value of letters and digits; a run of only letters, only digits or signs,
-    or the readable part of a URL.
+    1: named and assigned, not in a URL, and quoted or not only letters; 0: in a URL, or in running text,
+    neither named nor assigned nor quoted.
     """
-    mixed = (F.col("f_digits") > 0) & F.col("candidate").rlike("[A-Za-z]")
-    sure = (F.col("f_named") == 1) & (F.col("f_assigned") == 1) & mixed
-    return found.withColumn("label", F.when(sure, 1.0).when(~mixed | (F.col("f_in_url") == 1), 0.0))
+    has = lambda name: F.col(name) == 1
+    told = has("f_named") & has("f_assigned") & (has("f_quoted") | F.col("candidate").rlike("[^A-Za-z]"))
+    plain = ~has("f_named") & ~has("f_assigned") & ~has("f_quoted")
+    return found.withColumn("label", F.when(has("f_in_url") | plain, 0.0).when(told, 1.0))
 
 
 def _assembled(rows: DataFrame) -> DataFrame:
@@ -151,9 +168,9 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
     """Every candidate of every text with ``score`` (the forest's probability) and ``is_secret``.
 
     ``labelled`` are findings with features and label; without it ``weak_labels`` are taken. If only
-    one kind of label occurs, there is no forest: the score is then the sure label, or 0. Null and
-    empty texts have no candidates; repeated rows give their findings once each; a missing ``source``
-    counts as null.
+    one kind of label occurs, there is no forest: the score is then the label, or 0. Null and empty
+    texts have no candidates, very long ones as many as they hold; repeated rows give their findings once
+    each; a missing ``source`` counts as null; an empty table gives no rows.
     """
     found = stage(weak_labels(features(candidates(docs), dictionary(docs))))
     model = train(found if labelled is None else labelled)
@@ -161,14 +178,15 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, threshold: float =
         scored = found.withColumn("score", F.coalesce("label", F.lit(0.0)))
     else:
         scored = model.transform(_assembled(found)).withColumn("score", vector_to_array("probability")[1])
-    kept = ["doc_id", "text_key", "word_at", "run_at", "candidate", *FEATURES, "score"]
+    kept = ["doc_id", "text_key", "word_at", "run_at", "candidate", *FEATURES, *EVIDENCE, "score"]
     return scored.select(*kept, (F.col("score") >= threshold).alias("is_secret"))
 
 
 def redact(docs: DataFrame, mask: str = MASK) -> DataFrame:
     """``docs`` with every secret in ``text`` replaced by ``mask`` and ``n_chars``, if there, counted anew.
 
-    All rows and columns stay. Secrets are joined by a hash of the text, one row per text, from a
+    All rows and columns stay: null and empty texts as they are, repeated rows alike, an empty table empty.
+    Columns are told apart by place, so names may clash. Secrets are joined by a hash of the text, one row per text, from a
     staged table whose size is known when Spark chooses how to join it.
     """
     names = docs.columns

@@ -24,6 +24,52 @@ def test_candidates_match_brute_force(spark, documents, awkward):
         assert sorted(map(tuple, got), key=repr) == brute([(r[0], r[place]) for r in docs.collect()])
 
 
+def test_named_values_of_any_length_and_sign(spark):
+    docs = spark.createDataFrame([
+        (1, "password=hunter2!x end"), (2, "my api_key : 'ab.cd@ef' and"), (3, "secret: $a!b@c.d#e tail"), (4, "the author: Smith wrote x = 12345"),
+        (5, "pwd="), (6, f"token={HEX}"), (7, f"auth_token={HEX}.{HEX}!"), (8, "PASSWORD:  x1y2"),
+        (9, "a_token=abcd;b_token=efgh"),
+    ], "doc_id long, text string")
+    got = {}
+    for r in scan.candidates(docs).collect():
+        got.setdefault(r.doc_id, []).append(r.candidate)
+    assert got.pop(7)[-1] == f"{HEX}.{HEX}!"
+    assert got == {6: [HEX], 9: ["abcd", "efgh"], 1: ["hunter2!x"], 2: ["ab.cd@ef"], 3: ["$a!b@c.d#e"], 8: ["x1y2"]}
+
+
+def test_short_named_secrets_are_masked_and_words_stay(spark, documents):
+    planted = [(5000 + i, f"see password = q{i * 7919 % 1000}Zx!{i}k for it and the password: please ask", "en", None, 9) for i in range(40)]
+    done = scan.redact(documents.union(spark.createDataFrame(planted, documents.schema)))
+    texts = [r.text for r in done.filter("doc_id >= 5000").collect()]
+    assert len(texts) == 40 and sum("= <SECRET> for" in t for t in texts) >= 38 and all("please ask" in t for t in texts)
+
+
+def test_labels_are_no_function_of_the_features():
+    assert not set(scan.EVIDENCE) & set(scan.FEATURES)
+
+
+def test_features_match_brute_force(spark, documents):
+    table = scan.dictionary(documents)
+
+    def coverage(value):
+        low = value.lower()
+        threes = [low[i : i + 3] for i in range(max(1, len(low) - 2))]
+        place = lambda w: table[(ord(w[0]) - 96) << 10 | (ord(w[1]) - 96) << 5 | (ord(w[2]) - 96)]
+        return sum(place(t) if re.fullmatch("[a-z]{3}", t) else 0.0 for t in threes) / len(threes)
+
+    for r in scan.features(scan.candidates(documents), table).collect():
+        c = r.candidate
+        kinds = ["a" if x.islower() else "A" if x.isupper() else "0" if x.isdigit() else x for x in c]
+        want = {
+            "f_length": len(c), "f_transitions": sum(a != b for a, b in zip(kinds, kinds[1:])) / len(c),
+            "f_digits": len(re.findall("[0-9]", c)) / len(c), "f_upper": len(re.findall("[A-Z]", c)) / len(c),
+            "f_hex": len(re.findall("[0-9a-fA-F]", c)) / len(c), "f_letter_run": max(map(len, re.split("[^A-Za-z]+", c))),
+            "f_coverage": coverage(c), "f_slashes": c.count("/"), "f_dots": c.count("."),
+            "f_before_coverage": coverage(r.before.split(" ")[-1]), "f_after_coverage": coverage(r.after),
+        }
+        assert {k: r[k] for k in want} == want or all(abs(r[k] - v) < 1e-12 for k, v in want.items()), (c, want, r)
+
+
 def test_held_out_labels_and_unnamed_secrets(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     found = scan.stage(scan.weak_labels(scan.features(scan.candidates(docs), scan.dictionary(docs))))
