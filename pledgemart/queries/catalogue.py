@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pledgemart import fixed_values as fv, sinks
 from pledgemart.operators.partials import number_users
+from pledgemart.operators import sketches
 from pledgemart.operators.quality import ERROR_REASON, split_valid_and_error, validation_metrics
 from pledgemart.plans import gold
 from pledgemart.queries import marts, views
@@ -18,6 +19,7 @@ from pledgemart.queries.files import fresh_folder
 from pledgemart.queries.views import with_views
 from pledgemart.registry import get_schema
 from pledgemart.sources.csv_marts import read_quoted_csv
+from pledgemart.sources.ledger import update_day
 
 
 def _database() -> str:
@@ -131,7 +133,41 @@ def funding_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _from_partials(spark, sf_dir, views.fundings, gold.funding_partials, gold.merged_funding_totals)
 
 
+def median_history(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order values per priority from sketches of the years, as they come; is the merged median near the middle?"""
+    base, orders = fresh_folder(spark), views.read(spark, sf_dir, "orders")
+    orders = orders.withColumn("dt", F.date_format("o_orderdate", "yyyy"))
+    for some in (orders.where("dt < '1997'"), orders.where("dt >= '1997'")):
+        sketches.day_sketches(some, ["dt", "o_orderpriority"], "o_totalprice").write.mode("append").partitionBy("dt").parquet(f"{base}/sketches")
+    merged = sketches.merged_quantile(spark.read.parquet(f"{base}/sketches"), "o_orderpriority", "median")
+    # As many rows as there are groups.
+    ranked = orders.join(merged, "o_orderpriority").groupBy("o_orderpriority", "n").agg(
+        F.avg((F.col("o_totalprice") < F.col("median")).cast("double")).alias("below"), F.avg((F.col("o_totalprice") <= F.col("median")).cast("double")).alias("upto")
+    )
+    error = 2 * sketches.rank_error()
+    return ranked.select("o_orderpriority", "n", ((F.col("below") <= 0.5 + error) & (F.col("upto") >= 0.5 - error)).alias("is_middle"))
+
+
+def day_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A day landed in two parts, the second to be read before the first, and in part of the same orders."""
+    base, orders = fresh_folder(spark), views.read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+
+    def conform(records: DataFrame) -> DataFrame:
+        read = lambda name, kind: F.try_variant_get("record", f"$.{name}", kind).alias(name)
+        return records.select(read("o_orderkey", "bigint"), read("o_custkey", "bigint"), read("part", "string"), "read_order")
+
+    held = ledger = None
+    for n, (hour, kept) in enumerate((("05", "o_custkey % 3 < 2"), ("03", "o_custkey % 3 > 0"))):
+        sinks.land_records(orders.where(kept).withColumn("part", F.lit(hour)), f"{base}/landed", "preorder", "20240101", hour=hour)
+        day = update_day(spark, f"{base}/landed", "preorder", "20240101", ["o_orderkey"], conform, held, ledger)
+        day.rows.write.parquet(f"{base}/rows{n}")
+        held, ledger = spark.read.parquet(f"{base}/rows{n}"), day.ledger
+    return held.drop("read_order")
+
+
 QUERIES = {
+    "ag_median_history": median_history,
+    "src_day_in_parts": day_in_parts,
     "snk_switched_mart": switched_mart,
     "snk_public_view": public_view,
     "src_catalogue_days": catalogue_days,
@@ -142,6 +178,8 @@ QUERIES = {
     "ag_funding_history": funding_history,
 }
 ORACLES = {
+    "ag_median_history": "SELECT o_orderpriority, count(o_totalprice) AS n, true AS is_middle FROM orders GROUP BY o_orderpriority",
+    "src_day_in_parts": "SELECT o_orderkey, o_custkey, if(o_custkey % 3 = 2, '03', '05') AS part FROM orders",
     "snk_switched_mart": _SWITCHED_SQL,
     "snk_public_view": with_views(f"SELECT {', '.join(fv.PUBLIC_CAMPAIGN_COLUMNS)} FROM campaign_kpi", "campaign_kpi"),
     "src_catalogue_days": _DAYS_SQL,

@@ -20,18 +20,27 @@ from pledgemart.functions.times import dashed_dt, normalize_dt
 # The most bytes of JSON that Spark holds in one VARIANT.
 MAX_DOCUMENT_BYTES = 128 << 20
 
+#: Names of landed files.
+NAMES = "*.{json,json.gz,jsonl}"
 _FILES = "text string, source_key string, path_rank int, block_start bigint, line_no bigint"
 
 
-def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
+def day_folders(base: str, table: str, dt: str) -> str:
+    return f"{base.rstrip('/')}/{table}/dt={{{normalize_dt(dt)},{dashed_dt(dt)}}}"
+
+
+def read_files(spark: SparkSession, base: str, table: str, dt: str, files: Sequence[str] | None = None) -> DataFrame:
     """Text of the day's ``.json``, ``.jsonl`` and ``.json.gz`` files below both spellings of ``dt``.
 
     The first line of a file decides how it is read, not its ending or size. A file whose first line
     stands alone as a document is read by line, so that Spark can split it and holds a line at a time;
     every other file is one row. Files are told apart by one look at their first lines; then each is
-    read in its own way only, as a filter on the file's name never opens the others.
+    read in its own way only, as a filter on the file's name never opens the others. ``files`` limits
+    the day to some of its files.
     """
-    root = f"{base.rstrip('/')}/{table}/dt={{{normalize_dt(dt)},{dashed_dt(dt)}}}"
+    if files is not None and not files:
+        return spark.createDataFrame([], _FILES)
+    root = day_folders(base, table, dt)
     path = F.col("_metadata.file_path")
     shared = [
         F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B"))).alias("source_key"),
@@ -42,7 +51,7 @@ def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame
     line_place = [F.col("_metadata.file_block_start").alias("block_start"), F.monotonically_increasing_id().alias("line_no")]
 
     def text(**options) -> DataFrame:
-        return spark.read.options(pathGlobFilter="*.{json,json.gz,jsonl}", recursiveFileLookup=True).text(root, **options)
+        return spark.read.options(pathGlobFilter=NAMES, recursiveFileLookup=True).text(root, **options)
 
     try:
         by_line, whole = text(), text(wholetext=True)
@@ -50,6 +59,8 @@ def read_files(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
         return spark.createDataFrame([], _FILES)
+    if files is not None:
+        by_line, whole = (df.where(path.isin(list(files))) for df in (by_line, whole))
     # As many names as there are files that are one document; the file listing holds all names anyway.
     documents = [row.path for row in _documents(by_line.select(F.col("value").alias("text"), path.alias("path"), *line_place)).collect()]
     one = path.isin(documents) if documents else F.lit(False)
@@ -194,9 +205,9 @@ def with_file_position(df: DataFrame) -> DataFrame:
     )
 
 
-def read_records(spark: SparkSession, base: str, table: str, dt: str) -> DataFrame:
-    """Records of one landed table and day."""
-    return records_of_table(parse_documents(read_files(spark, base, table, dt)), table)
+def read_records(spark: SparkSession, base: str, table: str, dt: str, files: Sequence[str] | None = None) -> DataFrame:
+    """Records of one landed table and day, or of some of its files."""
+    return records_of_table(parse_documents(read_files(spark, base, table, dt, files)), table)
 
 
 def records_of_table(docs: DataFrame, table: str) -> DataFrame:
