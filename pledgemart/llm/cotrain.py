@@ -42,7 +42,7 @@ def counted(docs: DataFrame) -> DataFrame:
     """What both views are made of, for every row (doc_id, text): its counts of hashed words and figures.
 
     ``source`` and ``lang`` are used if they are there; null counts as a value of its own. ``text_key`` is a
-    hash of the text, the same for equal texts.
+    hash of the text, the same for equal texts, ``page_key`` one of source and language.
     """
     there = [c for c in ("source", "lang") if c in docs.columns]
     rows = pick(docs, "doc_id", "text", *there)
@@ -53,7 +53,7 @@ def counted(docs: DataFrame) -> DataFrame:
     share = lambda count, whole: (count / F.greatest(whole, F.lit(1))).cast("double")
     of = lambda pattern: share(size - F.length(F.regexp_replace("text", pattern, "")), size)
     rows = rows.withColumns({
-        "text_key": F.xxhash64("text"),
+        "text_key": F.xxhash64("text"), "page_key": F.xxhash64("m_source", "m_lang"),
         "t_digits": of("[0-9]"), "t_capitals": of(r"\p{Lu}"),
         "m_distinct": share(F.size(F.array_distinct("words")), n),
         "t_word_length": share(F.length(F.regexp_replace("text", r"\s", "")), n) / 10,
@@ -63,7 +63,7 @@ def counted(docs: DataFrame) -> DataFrame:
         "m_size_class": F.concat(F.lit("s"), F.floor(F.log2(size + F.lit(1))).cast("string")),
     })
     rows = HashingTF(numFeatures=WORD_FEATURES, inputCol="words", outputCol="tf").transform(rows)
-    return rows.select("doc_id", "text_key", "tf", *_CONTENT, *_LAYOUT, *_KINDS)
+    return rows.select("doc_id", "text_key", "page_key", "tf", *_CONTENT, *_LAYOUT, *_KINDS)
 
 
 def views(rows: DataFrame) -> DataFrame:
@@ -135,21 +135,21 @@ def _samples(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     ids = stage(rows.select("doc_id").filter("doc_id IS NOT NULL").distinct().join(given, "doc_id"))
     few = ids.filter(_part("doc_id", LABELLED_MOST / max(1, ids.count())))
     # LABELLED_MOST ids, or nearly so; below, as many texts. Copies of a labelled text are left out of the rest.
-    known = stage(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", *_KINDS))
+    known = stage(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", "page_key"))
     discard(ids)
     rest = rows.join(F.broadcast(known.select("text_key").distinct()), "text_key", "left_anti")
-    return known, stage(_first(rest, "text_key", "doc_id", *_KINDS))
+    return known, stage(_first(rest, "text_key", "doc_id", "page_key"))
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
     """Co-train on ``docs`` (doc_id, text) and ``labels`` (doc_id, label: 1 good, 0 not)."""
-    return _train(stage(counted(docs)), labels, rounds, sure)
+    return _train(stage(views(counted(docs))), labels, rounds, sure)
 
 
 def _train(all_rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
     known, rest = _samples(all_rows, labels)
     try:
-        return _exchange(views(known), views(rest), rounds, sure)
+        return _exchange(known, rest, rounds, sure)
     finally:
         discard(known)
         discard(rest)
@@ -164,22 +164,20 @@ def _exchange(known: DataFrame, pool: DataFrame, rounds: int, sure: float) -> Mo
         return Model(None, None, {}, 0.0, good / total if total else 0.5)
     given = rows.filter("fold != 0").withColumn("weight", F.lit(1.0))
     held = rows.filter("fold = 0")
-    added = {"text": None, "meta": None}
+    # Pseudo-labels of the last round, as a table: each is worked out once, not in every pass of a fit.
+    told = None
     models: dict[str, LogisticRegressionModel] = {}
     for turn in range(rounds + 1):
-        for name in added:
-            train_on = given if added[name] is None else given.unionByName(added[name], allowMissingColumns=True)
-            models[name] = _fit(train_on.select(f"{name}_view", "label", "weight"), f"{name}_view")
-        if turn == rounds:
-            break
-        judged = _apply(models["meta"], _apply(models["text"], pool, "text"), "meta")
-        least = math.log(sure / (1 - sure))
-        is_sure = lambda name: F.abs(F.col(f"{name}_odds")) >= least
-        apart = F.signum("text_odds") != F.signum("meta_odds")
-        for name, other in (("text", "meta"), ("meta", "text")):
-            # A row on which both are sure, of different things, helps neither.
-            told = judged.filter(is_sure(other) & ~(is_sure(name) & apart))
-            added[name] = told.withColumns({"label": (F.col(f"{other}_odds") > 0).cast("double"), "weight": F.lit(PSEUDO_WEIGHT)})
+        for name in ("text", "meta"):
+            train_on = given.select(f"{name}_view", "label", "weight")
+            if told is not None:
+                label = F.col(f"{name}_label")
+                train_on = train_on.union(told.filter(label.isNotNull()).select(f"{name}_view", label, F.lit(PSEUDO_WEIGHT)))
+            models[name] = _fit(train_on, f"{name}_view")
+        if told is not None:
+            discard(told)
+        if turn < rounds:
+            told = stage(_told(models, pool, sure))
     calibration = {}
     for name, model in models.items():
         odds = VectorAssembler(inputCols=[f"{name}_odds"], outputCol="x").transform(_apply(model, held, name)).withColumn("weight", F.lit(1.0))
@@ -189,6 +187,22 @@ def _exchange(known: DataFrame, pool: DataFrame, rounds: int, sure: float) -> Mo
     return Model(models["text"], models["meta"], calibration, math.log(good / bad))
 
 
+def _told(models: dict[str, LogisticRegressionModel], pool: DataFrame, sure: float) -> DataFrame:
+    """The rows of ``pool`` that a view is sure of: text_label is what the text's classifier is to learn, meta_label the page's."""
+    judged = pool.select("text_view", "meta_view")
+    for name, model in models.items():
+        judged = _apply(model, judged, name)
+    least = math.log(sure / (1 - sure))
+    is_sure = lambda name: F.abs(F.col(f"{name}_odds")) >= least
+    apart = F.signum("text_odds") != F.signum("meta_odds")
+    labels = {
+        # A row on which both are sure, of different things, helps neither.
+        f"{name}_label": F.when(is_sure(other) & ~(is_sure(name) & apart), (F.col(f"{other}_odds") > 0).cast("double"))
+        for name, other in (("text", "meta"), ("meta", "text"))
+    }
+    return judged.withColumns(labels).drop("text_odds", "meta_odds").filter(" OR ".join(f"{c} IS NOT NULL" for c in labels))
+
+
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, text_score, meta_score, score, kept of every row of ``docs``.
 
@@ -196,5 +210,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     scored and may get pseudo-labels only; ids with both labels count as unlabelled; of several texts of a
     labelled id one is taken, by its hash; other columns are ignored; an empty table gives no rows.
     """
-    rows = stage(counted(docs))
-    return _train(rows, labels).score(views(rows)).withColumn("kept", F.col("score") >= threshold)
+    rows = stage(views(counted(docs)))
+    return _train(rows, labels).score(rows).withColumn("kept", F.col("score") >= threshold)
