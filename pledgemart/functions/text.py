@@ -12,6 +12,10 @@ from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
 from pledgemart import fixed_values as fv
+from pledgemart.functions.lexicon import groups_found, weighed_hits
+
+#: Lexicons of more words are looked for in one pass over the text.
+MANY_WORDS = 64
 
 
 @dataclass(frozen=True)
@@ -62,6 +66,8 @@ def _hits(text: Column, words: list[str]) -> Column:
 def sentiment_balance(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Number of positive words found minus number of negative words found."""
     hay = lexicon.haystack(text)
+    if len(lexicon.positive) + len(lexicon.negative) > MANY_WORDS:
+        return weighed_hits(hay, [*((w, 1) for w in lexicon.positive), *((w, -1) for w in lexicon.negative)])
     return _hits(hay, lexicon.positive) - _hits(hay, lexicon.negative)
 
 
@@ -76,6 +82,8 @@ def sentiment_score(balance: Column) -> Column:
 def keyword_groups(text: Column, lexicon: Lexicon = DEFAULT_LEXICON) -> Column:
     """Comma-joined names of the groups with a word in the text, in rule order."""
     hay = lexicon.haystack(text)
+    if sum(map(len, lexicon.groups.values())) > MANY_WORDS:
+        return groups_found(hay, lexicon.groups)
     return F.concat_ws(
         ",",
         *[

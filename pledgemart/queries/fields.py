@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pledgemart import fixed_values as fv
@@ -278,6 +280,39 @@ _SENTIMENT_SQL = f"""
     FROM (SELECT doc_id, {_BALANCE} AS b FROM documents)"""
 
 
+#: Words by rule: all of three and two of the commonest letters, which overlap everywhere.
+_LETTERS = "etaoinshrdlu"
+
+
+def _strings(letters: str, length: int) -> list[str]:
+    return ["".join(signs) for signs in itertools.product(letters, repeat=length)]
+
+
+def large_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Balance and groups of every text by a lexicon of 1,872 words."""
+    lexicon = nlp.Lexicon(
+        positive=_strings(_LETTERS, 3), negative=_strings(_LETTERS, 2), lower=True,
+        groups={"open": _strings("eaoiu", 3), "closed": _strings("tnshr", 3)},
+    )
+    docs = read(spark, sf_dir, "documents")
+    return docs.select(
+        "doc_id", nlp.sentiment_balance(F.col("text"), lexicon).cast("bigint").alias("balance"),
+        nlp.keyword_groups(F.col("text"), lexicon).alias("keyword_groups"),
+    )
+
+
+_LARGE_LEXICON_SQL = f"""
+    WITH letters AS (SELECT unnest(string_split('{_LETTERS}', '')) AS c),
+    words AS (SELECT a.c || b.c || d.c AS w, 1 AS weight FROM letters a, letters b, letters d
+      UNION ALL SELECT a.c || b.c, -1 FROM letters a, letters b),
+    docs AS (SELECT row_number() OVER () AS n, doc_id, lower(text) AS t FROM documents),
+    found AS (SELECT n, doc_id, w, weight FROM docs JOIN words ON contains(t, w))
+    SELECT docs.doc_id, CAST(if(any_value(t) IS NULL, NULL, coalesce(sum(weight), 0)) AS BIGINT) AS balance,
+      concat_ws(',', if(bool_or(regexp_full_match(w, '[eaoiu]{{3}}')), 'open', NULL), if(bool_or(regexp_full_match(w, '[tnshr]{{3}}')), 'closed', NULL))
+        AS keyword_groups
+    FROM docs LEFT JOIN found USING (n) GROUP BY n, docs.doc_id"""
+
+
 def keyword_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read(spark, sf_dir, "documents").select(
         "doc_id", nlp.keyword_groups(F.col("text"), LEXICON).alias("keyword_groups")
@@ -467,6 +502,7 @@ QUERIES = {
     "fn_clean_text": clean_text,
     "fn_sentiment": sentiment,
     "fn_keyword_groups": keyword_groups,
+    "fn_large_lexicon": large_lexicon,
     "fn_question": question,
     "fn_supporter_class": supporter_class,
     "fn_amount_tier": amount_tier,
@@ -490,6 +526,7 @@ ORACLES = {
     "fn_clean_text": _CLEAN_TEXT_SQL,
     "fn_sentiment": _SENTIMENT_SQL,
     "fn_keyword_groups": _GROUPS_SQL,
+    "fn_large_lexicon": _LARGE_LEXICON_SQL,
     "fn_question": _QUESTION_SQL,
     "fn_supporter_class": _SUPPORTER_CLASS_SQL,
     "fn_amount_tier": _TIER_SQL,
