@@ -10,7 +10,7 @@ from pledgemart import sinks
 from pledgemart.plans import gold, present
 from pledgemart.queries import marts, views
 from pledgemart.queries.views import with_views
-from pledgemart.sources import csv_marts, landing
+from pledgemart.sources import csv_marts, landing, shapes
 
 DT = "20240101"
 
@@ -43,6 +43,38 @@ _LANDED_SQL = """
     SELECT o_orderkey, o_custkey, o_orderpriority, if(o_orderkey % 2 = 0, '03', '04') AS hour FROM orders"""
 
 
+def shape_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed plain, with renamed fields, and in a wrapper with a nested part; what fields are there?"""
+    base, orders = fresh_folder(spark), _orders(spark, sf_dir)
+    nested = F.struct("o_orderkey", F.struct(F.col("o_custkey").alias("key"), F.col("o_orderstatus").alias("state")).alias("customer"))
+    deliveries = (
+        ("o_orderkey", "o_custkey", "o_orderpriority"),
+        (F.col("o_orderkey").alias("orderKey"), F.when(F.col("o_custkey") % 2 == 0, F.col("o_custkey")).alias("o_custkey")),
+        (F.array(nested).alias("data"), "o_orderkey"),
+    )
+    for n, columns in enumerate(deliveries):
+        sinks.land_records(orders.where(F.col("o_orderkey") % 3 == n).select(*columns), base, "fundings", DT, hour=f"0{n + 3}")
+    known = shapes.known_paths(["o_orderkey o_order_key", "o_custkey customer.key customer.id", "_parent_o_orderkey"])
+    report = shapes.field_report(landing.read_records(spark, base, "fundings", DT), known)
+    return report.drop("kind")
+
+
+# Nulls are not landed, so a field that is there is filled.
+_SHAPES_SQL = """
+    WITH o AS (SELECT *, o_orderkey % 3 AS n FROM orders),
+    fields AS (
+      SELECT 'o_orderkey' AS field, 'known' AS status, count(o_orderkey) FILTER (n <> 1) AS records FROM o
+      UNION ALL SELECT 'o_order_key', 'vanished', 0
+      UNION ALL SELECT 'o_custkey', 'known', count(o_custkey) FILTER (n = 0 OR n = 1 AND o_custkey % 2 = 0) FROM o
+      UNION ALL SELECT 'customer', 'known', count(*) FILTER (n = 2) FROM o
+      UNION ALL SELECT 'customer.key', 'known', count(o_custkey) FILTER (n = 2) FROM o
+      UNION ALL SELECT 'customer.id', 'vanished', 0
+      UNION ALL SELECT 'customer.state', 'unknown', count(o_orderstatus) FILTER (n = 2) FROM o
+      UNION ALL SELECT 'o_orderpriority', 'unknown', count(o_orderpriority) FILTER (n = 0) FROM o
+      UNION ALL SELECT 'orderKey', 'unknown', count(o_orderkey) FILTER (n = 1) FROM o)
+    SELECT field, status, records, records AS filled FROM fields"""
+
+
 def replaced_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A day that is written twice holds the second rows only, the day beside it stays."""
     base, rows = fresh_folder(spark), _orders(spark, sf_dir).select("o_orderkey", "o_custkey")
@@ -126,6 +158,7 @@ def _public(mart: str):
 
 QUERIES = {
     "src_read_files": landed_records,
+    "src_shape_report": shape_report,
     "snk_replace_day": replaced_day,
     "src_csv_mart": csv_mart,
     "p_date_coercion": coerced_dates,
@@ -135,6 +168,7 @@ QUERIES = {
 }
 ORACLES = {
     "src_read_files": _LANDED_SQL,
+    "src_shape_report": _SHAPES_SQL,
     "snk_replace_day": _REPLACED_SQL,
     "src_csv_mart": _CSV_SQL,
     "p_date_coercion": _COERCED_SQL,
