@@ -11,7 +11,8 @@ is its place among the bytes of all, in the order of the whole texts. Ties withi
 broken by a hash, so a split can go through a value that a third of all rows share. A weighted
 median is found by counting bytes in 1,024 bins of every node's range, then again within the bin
 that holds it, until the bin is as good as one document. Each round is one aggregation over the
-narrow metadata rows; what comes to the driver is bins, never rows.
+narrow metadata rows; what comes to the driver is a row per node. What is known of the nodes goes back as
+arrays that a row's node is the index of, so expressions do not grow with the shards.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ def metadata(docs: DataFrame, overhead: int = OVERHEAD_BYTES) -> DataFrame:
     )
     # Repeated rows differ in the last bits of the tie only, so that they can be dealt out as well.
     tie = F.xxhash64("doc_id", "text_crc32").bitwiseAND(F.lit(0xFFFF)) * (1 << 16) + F.xxhash64("uid").bitwiseAND(F.lit(0xFFFF))
-    place = F.col("doc_id").cast("double")
+    place = F.col("doc_id").try_cast("double")
     return rows.select(
         "doc_id", "size", "text_crc32", "uid", tie.alias("tie"), "source", "lang",
         F.log2(F.col("size").cast("double")).alias("length"), F.coalesce(place, F.lit(0.0)).alias("id"),
@@ -114,12 +115,17 @@ def _spreads(rows: DataFrame) -> dict[int, tuple[str, float]]:
     return out
 
 
+def _of_node(values: dict[int, float], kind: str = "bigint") -> Column:
+    """What ``values`` has for a row's node, NULL if nothing."""
+    first, last = (min(values), max(values)) if values else (0, -1)
+    known = F.from_json(F.lit(json.dumps([values.get(n) for n in range(first, last + 1)])), f"array<{kind}>")
+    return F.get(known, (F.col("node") - first).cast("int"))
+
+
 def _chosen(by_node: dict[int, str]) -> Column:
     """Each row's key in the dimension of its node."""
-    out = F.lit(None).cast("bigint")
-    for node, d in by_node.items():
-        out = F.when(F.col("node") == node, F.col(f"k_{d}")).otherwise(out)
-    return out
+    place = _of_node({node: DIMENSIONS.index(d) for node, d in by_node.items()}, "int")
+    return F.get(F.array(*(f"k_{d}" for d in DIMENSIONS)), place)
 
 
 def _cuts(rows: DataFrame, wide: dict[int, tuple[str, float]], shares: dict[int, float], tolerance: float) -> dict[int, int]:
@@ -132,26 +138,25 @@ def _cuts(rows: DataFrame, wide: dict[int, tuple[str, float]], shares: dict[int,
     while open_ and bits > 0:
         step = min(BIN_BITS, bits)
         bits -= step
-        place = F.lit(None).cast("bigint")
-        for n in open_:
-            inside = F.col("key").between(low[n], low[n] + (1 << bits + step) - 1)
-            place = F.when((F.col("node") == n) & inside, F.shiftright(F.col("key") - low[n], bits)).otherwise(place)
-        bins: dict[int, list] = {n: [] for n in open_}
-        for r in keyed.select("node", "size", place.alias("bin")).filter("bin IS NOT NULL").groupBy("node", "bin").agg(F.sum("size").alias("w")).collect():
-            bins[r.node].append((r.bin, r.w))
+        start = _of_node({n: low[n] for n in open_})
+        held = keyed.withColumn("at", F.col("key") - start).filter(F.col("at").between(0, (1 << bits + step) - 1))
+        bins = held.groupBy("node", F.shiftright("at", bits).alias("bin")).agg(F.sum("size").alias("w"))
+        # As many bins per node as BIN_BITS allow.
+        bins = bins.withColumn("upto", F.expr("sum(w) OVER (PARTITION BY node ORDER BY bin)"))
+        rest = _of_node({n: want[n] - below[n] for n in open_}, "double")
+        crossed = F.when(F.col("upto") > rest, F.struct("bin", "w", "upto"))
+        found = {r.node: r.crossed for r in bins.groupBy("node").agg(F.min(crossed).alias("crossed")).collect()}
         for n in list(open_):
-            for place_, w in sorted(bins[n]):
-                if below[n] + w > want[n]:
-                    break
-                below[n] += w
-            else:  # all bins lie below: cut behind them
+            held_by = found.get(n)
+            if held_by is None:  # all bins lie below: cut behind them
                 cuts[n] = low[n] + (1 << bits + step)
                 open_.discard(n)
                 continue
-            low[n] += place_ << bits
-            if min(want[n] - below[n], below[n] + w - want[n]) <= tolerance or bits == 0:
-                nearer = want[n] - below[n] > below[n] + w - want[n]
-                cuts[n] = low[n] + ((1 << bits) if nearer else 0)
+            below[n] += held_by.upto - held_by.w
+            low[n] += held_by.bin << bits
+            before, behind = want[n] - below[n], below[n] + held_by.w - want[n]
+            if min(before, behind) <= tolerance or bits == 0:
+                cuts[n] = low[n] + ((1 << bits) if before > behind else 0)
                 open_.discard(n)
     return cuts
 
@@ -160,8 +165,9 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
     """doc_id, size, text_crc32, shard (from 0), slot (from 0, without gaps, per shard) of every row.
 
     Give the number of shards, or the bytes a shard should have. Null texts have no bytes beyond
-    ``overhead`` and the checksum of the empty text; null metadata sorts first; repeated rows are
-    dealt out like others; an empty table gives no rows.
+    ``overhead`` and the checksum of the empty text; null metadata sorts first, and so do ids that are no
+    numbers; a very long text is one row of its size; repeated rows are dealt out like others; an empty table gives no
+    rows.
     """
     rows = stage(metadata(docs, overhead))
     total = rows.agg(F.sum("size")).first()[0] or 0
@@ -177,19 +183,17 @@ def assign(docs: DataFrame, shards: int | None = None, target_bytes: int | None
             break
         shares = {n: (node.shards // 2) / node.shards for n, node in split.items()}
         cuts = _cuts(rows, wide, shares, TOLERANCE * total / shards)
-        moved = F.col("node")
+        lower = {}
         for n, node in split.items():
-            low, high = node.split()
-            key = F.col(f"k_{wide[n][0]}")
-            moved = F.when(F.col("node") == n, F.when(key < cuts[n], next_id).otherwise(next_id + 1)).otherwise(moved)
             nodes.pop(n)
-            nodes[next_id], nodes[next_id + 1] = low, high
+            lower[n] = next_id
+            nodes[next_id], nodes[next_id + 1] = node.split()
             next_id += 2
+        upper = (_chosen({n: wide[n][0] for n in split}) >= _of_node(cuts)).cast("int")
+        moved = F.coalesce((_of_node(lower) + upper).cast("int"), F.col("node"))
         # Each level is written: the expressions of all levels would grow into one another.
         rows = stage(rows.withColumn("node", moved))
-    shard = F.lit(0)
-    for n, node in nodes.items():
-        shard = F.when(F.col("node") == n, node.first).otherwise(shard)
+    shard = _of_node({n: node.first for n, node in nodes.items()}, "int")
     return _slots(rows.select("doc_id", "size", "text_crc32", "uid", shard.cast("int").alias("shard")))
 
 

@@ -66,3 +66,40 @@ def test_many_texts_are_placed_in_order(spark):
     for r in got:
         assert abs(r.place - (want + sizes[r.source_text] / 2) / total) < 1e-12
         want += sizes[r.source_text]
+
+
+def test_equals_brute_force(spark, monkeypatch):
+    """The tree built by hand over the same keys, with cuts as near as whole rows allow."""
+    monkeypatch.setattr(kd_shards, "TOLERANCE", 0)
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1)
+    keys = kd_shards._keys(kd_shards._placed(kd_shards.stage(kd_shards.metadata(docs)))).collect()
+    want = {}
+
+    def split(rows, first, shards):
+        if shards == 1:
+            want.update((r.doc_id, first) for r in rows)
+            return
+        total = sum(r["size"] for r in rows)
+
+        def spread(d):
+            x = [((r[f"k_{d}"] >> kd_shards.TIE_BITS) / (1 << kd_shards.DIM_BITS), r["size"]) for r in rows]
+            return sum(w * v * v for v, w in x) / total - (sum(w * v for v, w in x) / total) ** 2
+
+        widest = max(kd_shards.DIMENSIONS, key=spread)
+        rows = sorted(rows, key=lambda r: r[f"k_{widest}"])
+        share, below, n = total * (shards // 2) / shards, 0, 0
+        while n < len(rows) and below + rows[n]["size"] <= share:
+            below, n = below + rows[n]["size"], n + 1
+        if n < len(rows) and share - below > below + rows[n]["size"] - share:
+            n += 1
+        split(rows[:n], first, shards // 2)
+        split(rows[n:], first + shards // 2, shards - shards // 2)
+
+    split(keys, 0, 7)
+    assert {r.doc_id: r.shard for r in kd_shards.assign(docs, shards=7).collect()} == want
+
+
+def test_ids_that_are_no_numbers_and_many_shards(spark):
+    docs = spark.range(3000).selectExpr("concat('d', id) AS doc_id", "repeat('x', 20) AS text")
+    out = kd_shards.assign(docs, shards=1000).groupBy("shard").count().collect()
+    assert len(out) == 1000 and max(r["count"] for r in out) <= 4
