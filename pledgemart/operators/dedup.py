@@ -28,9 +28,12 @@ def first_per_group(
     Rows that tie are taken in the order of all their columns, unless the order is known to have
     no ties. The filter on ``row_number`` lets Spark cut every group to ``n`` rows inside each task
     before the shuffle, so a key that holds much of the table costs no more than others.
+
+    The columns settle ties one by one: as a struct they would be carried a second time in every sorted row.
     """
     rank = "__rank"
-    window = Window.partitionBy(*keys).orderBy(*order, *([all_in_order(df)] if settle else []))
+    ties = [F.asc_nulls_first(f"`{f.name}`") for f in df.schema if _sortable(f.dataType)] if settle else []
+    window = Window.partitionBy(*keys).orderBy(*order, *ties)
     return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= n).drop(rank)
 
 
