@@ -8,6 +8,7 @@ from pledgemart import fixed_values as fv
 from pledgemart.functions.measures import (
     count_where, days_left_label, has_campaign_id, or_zero, ratio, total_of,
 )
+from pledgemart.functions.pii import packed
 from pledgemart.operators.dedup import first_per_group
 from pledgemart.operators.history import change, change_rate, with_previous
 from pledgemart.operators.partials import day_partials, merge_partials
@@ -46,15 +47,15 @@ def supporter_totals(supporter: DataFrame, as_of_dt: str | None = None) -> DataF
     """
     rows = _scan(supporter, "user_id_hash is_purchaser is_signer backing_amount", as_of_dt)
     bought = F.coalesce(F.col("is_purchaser"), F.lit(False))
-    per_user = rows.groupBy(_CAMPAIGN, "user_id_hash").agg(
+    per_user = rows.groupBy(_CAMPAIGN, packed(F.col("user_id_hash")).alias("user")).agg(
         F.max(bought).alias("bought"),
         F.max(F.coalesce("is_signer", F.lit(False))).alias("signed"),
         F.sum(F.when(bought, or_zero(F.col("backing_amount"))).otherwise(0)).alias("amount"),
         F.count(F.when(bought, F.col("backing_amount"))).alias("payments"),
     )
-    known = F.col("user_id_hash").isNotNull()
+    known = F.col("user").isNotNull()
     return per_user.groupBy(_CAMPAIGN).agg(
-        F.count("user_id_hash").alias("supporter_user_cnt"),
+        F.count("user").alias("supporter_user_cnt"),
         F.count_if(known & F.col("bought")).alias("purchaser_cnt"),
         F.count_if(known & F.col("signed")).alias("signer_user_cnt"),
         F.sum("amount").alias("supporter_backing_amount"),
@@ -95,7 +96,7 @@ def merged_funding_totals(partials: DataFrame) -> DataFrame:
 
 def wish_totals(wishes: DataFrame, as_of_dt: str | None = None) -> DataFrame:
     rows = _scan(wishes, "user_id_hash", as_of_dt)
-    return rows.groupBy(_CAMPAIGN).agg(F.count_distinct("user_id_hash").alias("wish_user_cnt"))
+    return rows.groupBy(_CAMPAIGN).agg(F.count_distinct(packed(F.col("user_id_hash"))).alias("wish_user_cnt"))
 
 
 def comment_totals(comments: DataFrame, as_of_dt: str | None = None) -> DataFrame:
@@ -118,7 +119,7 @@ def comment_totals(comments: DataFrame, as_of_dt: str | None = None) -> DataFram
 def funding_totals(fundings: DataFrame, as_of_dt: str | None = None) -> DataFrame:
     rows = _scan(fundings, "user_id_hash amount", as_of_dt)
     return rows.groupBy(_CAMPAIGN).agg(
-        F.count_distinct("user_id_hash").alias("funding_user_cnt"),
+        F.count_distinct(packed(F.col("user_id_hash"))).alias("funding_user_cnt"),
         F.sum(or_zero(F.col("amount"))).alias("user_history_funding_amount"),
     )
 

@@ -87,11 +87,10 @@ def preorder(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Hashed per order, before the join multiplies the rows.
-    orders = read(spark, sf_dir, "orders").select(
-        "o_orderkey", user_hash(F.col("o_custkey")).alias("user_id_hash")
-    )
-    return read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    # Hashed after the join: its shuffle and sort hold a number per order instead of 64 letters.
+    orders = read(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    joined = read(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
+    return joined.withColumn("user_id_hash", user_hash(F.col("o_custkey")))
 
 
 def supporter(spark: SparkSession, sf_dir: str) -> DataFrame:
