@@ -2,8 +2,9 @@
 
 Sums of days add up, distinct users do not: a user of two days counts once. A partial therefore holds its
 users as bits, at numbers that a table of all users gives them, and merging days is an OR. Bits lie in
-buckets of 32,768 numbers, one row each, so a campaign with very many users is spread over rows and
-tasks. A new day is reduced once; the history is never read again.
+buckets of 64 numbers, one row each and a number per condition: a campaign with very many users is spread
+over rows and tasks, and one with few of many users holds a number for each, not a bitmap that is all but
+empty. A new day is reduced once; the history is never read again.
 """
 
 from __future__ import annotations
@@ -12,8 +13,12 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from pledgemart.functions.pii import packed, unpacked
+
 #: Numbers that the partitions of one numbering may use together; a later numbering starts above them.
 _STEP = 1 << 43
+#: A bucket has 2 ** 6 numbers, as many as a bigint has bits.
+_BUCKET_BITS = 6
 
 
 def number_users(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
@@ -21,14 +26,14 @@ def number_users(users: DataFrame, known: DataFrame | None = None) -> DataFrame:
 
     Append the result to ``known``. A NULL user has no number.
     """
-    new = users.select("user_id_hash").where(F.col("user_id_hash").isNotNull()).distinct()
+    new = users.select(packed(F.col("user_id_hash")).alias("user")).where(F.col("user").isNotNull()).distinct()
     start = 0
     if known is not None:
-        new = new.join(known, "user_id_hash", "left_anti")
+        new = new.join(known.select(packed(F.col("user_id_hash")).alias("user")), "user", "left_anti")
         most = known.agg(F.max("user_no")).first()[0]
         start = 0 if most is None else (most // _STEP + 1) * _STEP
-    # Bits are counted from 1.
-    return new.select("user_id_hash", (F.monotonically_increasing_id() + F.lit(start + 1)).alias("user_no"))
+    # Numbers start from 1.
+    return new.select(unpacked(F.col("user")).alias("user_id_hash"), (F.monotonically_increasing_id() + F.lit(start + 1)).alias("user_no"))
 
 
 def day_partials(
@@ -38,20 +43,19 @@ def day_partials(
 
     Conditions are read per row; a user of whom one row holds is in. Rows without a user only add to the sums.
     """
-    held = rows.select(*keys, "user_id_hash", *(c.alias(n) for n, c in (users | sums).items()))
-    # One row per user first: a hot campaign is spread over its users.
-    per_user = held.groupBy(*keys, "user_id_hash").agg(
-        *(F.max(F.coalesce(F.col(n), F.lit(False))).alias(n) for n in users), *(F.sum(n).alias(n) for n in sums)
-    )
-    placed = per_user.join(numbers, "user_id_hash", "left").withColumn("bucket", F.bitmap_bucket_number("user_no"))
-    bit = F.bitmap_bit_position("user_no")
-    return placed.groupBy(*keys, "bucket").agg(
-        *(F.bitmap_construct_agg(F.when(F.col(n), bit)).alias(n) for n in users), *(F.sum(n).alias(n) for n in sums)
+    held = rows.select(*keys, packed(F.col("user_id_hash")).alias("user"), *(c.alias(n) for n, c in (users | sums).items()))
+    placed = held.join(numbers.select(packed(F.col("user_id_hash")).alias("user"), "user_no"), "user", "left")
+    # A hot campaign is spread over its buckets.
+    bucket = F.shiftright("user_no", _BUCKET_BITS)
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("user_no").bitwiseAND(F.lit((1 << _BUCKET_BITS) - 1)).cast("int"))
+    return placed.groupBy(*keys, bucket.alias("bucket")).agg(
+        *(F.bit_or(F.when(F.col(n), bit)).alias(n) for n in users), *(F.sum(n).alias(n) for n in sums)
     )
 
 
 def merge_partials(partials: DataFrame, users: list[str], sums: list[str], key: str = "campaign_id") -> DataFrame:
     """Distinct users per condition, and sums, over all days of ``partials``."""
-    per_bucket = partials.groupBy(key, "bucket").agg(*(F.bitmap_or_agg(n).alias(n) for n in users), *(F.sum(n).alias(n) for n in sums))
-    count = lambda n: F.sum(F.when(F.col("bucket").isNotNull(), F.bitmap_count(n)).otherwise(0)).alias(n)
+    per_bucket = partials.groupBy(key, "bucket").agg(*(F.bit_or(n).alias(n) for n in users), *(F.sum(n).alias(n) for n in sums))
+    # Of a bucket nobody of whom meets a condition the bits are NULL, as they are without a user.
+    count = lambda n: F.sum(F.coalesce(F.bit_count(n), F.lit(0))).alias(n)
     return per_bucket.groupBy(key).agg(*map(count, users), *(F.sum(n).alias(n) for n in sums))
