@@ -3,8 +3,8 @@
 Every stage takes what its predecessor kept, as the Parquet table that was written of it:
 
 1. quality rules: documents that fail the base rule or look unlike trusted text go;
-2. near-duplicates, by a Jaccard similarity of 0.8 over five words: one document of each group stays, that of
-   the smallest id;
+2. near-duplicates, by SimHash with an exact check (a Jaccard similarity of 0.8 over five words), and by shared
+   shingles what SimHash misses: one document of each group stays, that of the smallest id;
 3. benchmark decontamination: documents that share ten words in a row with a benchmark item go;
 4. secret scan: secrets in the texts are masked, all documents stay;
 5. byte-level BPE: the ids of every text, checked by decoding them again.

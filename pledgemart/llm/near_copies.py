@@ -1,6 +1,9 @@
-"""Near copies by the exact Jaccard similarity of word shingles, found at the rare ends of their sets.
+"""Near copies by SimHash, checked by the exact Jaccard similarity of word shingles; the others at the rare ends of their sets.
 
 Two texts are alike if the sets of their five-word shingles have a Jaccard similarity of 0.8 or more.
+First texts whose fingerprints differ in two bits at most (``simhash``) are paired, compared on the whole
+sets, and linked if they are alike. SimHash misses near copies; those are found by their shingles.
+
 All shingles have one order, the same for every text; then two such sets share a shingle among the
 first fifth (and one more) of each. Only those are compared, so no pair is missed, and every pair that
 meets is checked on the whole sets. Any order gives the same result: frequent shingles are put last to
@@ -27,6 +30,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from xxhash import xxh64_intdigest
 
 from pledgemart.llm.common import discard, limit_batches, pick, stage
+from pledgemart.llm import simhash
 from pledgemart.llm.components import components
 
 SHINGLE_WORDS = 5
@@ -75,18 +79,19 @@ def may_be_alike(a: bytes, b: bytes, size_a: int, size_b: int) -> bool:
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    """``docs`` with ``row_key`` (unique) and ``key``, the same for texts of the same words; stage it before reading it twice."""
+    """``docs`` with ``row_key`` (unique), ``key``, the same for texts of the same words, and their fingerprint ``fp``; stage it before reading it twice."""
     place = docs.columns.index(text)
     limit_batches(docs.sparkSession)
-    schema = T.StructType([*docs.schema, T.StructField("row_key", T.LongType()), T.StructField("key", T.LongType())])
+    schema = T.StructType([*docs.schema, T.StructField("row_key", T.LongType()), T.StructField("key", T.LongType()), T.StructField("fp", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 40
         for batch in batches:
             keys = np.fromiter((_digest(b" ".join((t.as_py() or "").encode().lower().split())) for t in batch.column(place)), np.uint64, batch.num_rows)
+            fps = np.fromiter((simhash.fingerprint_of(t.as_py()) for t in batch.column(place)), np.uint64, batch.num_rows)
             rows = np.arange(at, at + batch.num_rows, dtype=np.int64)
             at += batch.num_rows
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows), pa.array(keys.view(np.int64))], names=schema.fieldNames())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(rows), pa.array(keys.view(np.int64)), pa.array(fps.view(np.int64))], names=schema.fieldNames())
 
     return docs.mapInArrow(run, schema)
 
@@ -179,17 +184,38 @@ def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, ends: DataFrame
     return found
 
 
+def fingerprint_pairs(first: DataFrame) -> DataFrame:
+    """(a, b) of keys by SimHash: each with the least key of its fingerprint, and those of fingerprints that are near; ``first`` has key and fp."""
+    heads = stage(first.groupBy("fp").agg(F.min("key").alias("head")))
+    equal = first.join(heads, "fp").filter("key != head").select(F.col("head").alias("a"), F.col("key").alias("b"))
+    near = simhash.links(heads.select("fp")).toDF("fa", "fb")
+    near = near.join(heads.toDF("fa", "a"), "fa").join(heads.toDF("fb", "b"), "fb").select("a", "b")
+    return equal.union(near)
+
+
+def _unlinked(rest: DataFrame, roots: DataFrame) -> DataFrame:
+    """``rest`` (token, key, size) with the root of each key, of tokens whose texts are not all linked."""
+    rest = rest.join(roots.withColumnRenamed("node", "key"), "key", "left")
+    rest = stage(rest.select("token", "key", "size", F.coalesce("root", "key").alias("root")))
+    open_ = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
+    still = stage(rest.join(open_, "token"))
+    discard(rest)
+    return still
+
+
 def groups(keyed: DataFrame, text: str) -> DataFrame:
-    """(node, root) of every key that is linked to another; ``keyed`` is staged, with row_key, key and the text."""
-    first = stage(keyed.groupBy("key").agg(F.min("row_key").alias("row_key")))
+    """(node, root) of every key that is linked to another; ``keyed`` is staged, with row_key, key, fp and the text."""
+    # Texts of the same words have the same fingerprint.
+    first = stage(keyed.groupBy("key").agg(F.min("row_key").alias("row_key"), F.min("fp").alias("fp")))
     texts = keyed.select(text)
     ends = stage(_first_shingles(texts, _frequent(texts)))
     # Of one token's texts only rows are sorted, never gathered; most tokens have one text and go at once.
     met = ends.where("token IS NOT NULL").select("token", "key", "size")
     met = met.select("*", *(F.expr(f"{n}(key) OVER (PARTITION BY token)").alias(n) for n in ("min", "max")))
-    left = stage(met.filter("min != max").select("token", "key", "size", F.col("key").alias("root")).distinct())
-    links, roots, turn = None, None, 0
-    while roots is None or not left.isEmpty():
+    links = _alike(fingerprint_pairs(first), keyed, first, ends, text)
+    roots, turn = stage(components(links)), 0
+    left = _unlinked(met.filter("min != max").select("token", "key", "size").distinct(), roots)
+    while not left.isEmpty():
         # Of each token's texts other ones each time, one at least, so that a large group is soon linked throughout.
         lot = F.xxhash64("key", "token", F.lit(turn))
         drawn = left.withColumn("lot", lot)
@@ -198,15 +224,12 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
         centre = stage(drawn.join(lots, "token").where(is_centre).select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b")))
         pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b")).filter(_can_be_alike(F.col("size"), F.col("size_b")))
         found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, ends, text)
-        links = stage(found if links is None else links.union(found))
+        links = stage(links.union(found))
         roots = stage(components(links))
         # Centres have met all others; a token whose other texts are all linked has nothing to tell.
         rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti").select("token", "key", "size")
-        rest = rest.join(roots.withColumnRenamed("node", "key"), "key", "left")
-        rest = stage(rest.select("token", "key", "size", F.coalesce("root", "key").alias("root")))
-        open_ = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-        still = stage(rest.join(open_, "token"))
-        for used in (left, centre, rest, found):
+        still = _unlinked(rest, roots)
+        for used in (left, centre, found):
             discard(used)
         left, turn = still, turn + 1
     for used in (ends, left, links):
