@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,10 +9,11 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from pledgemart.operators.staging import discard, shared_folder, stage  # noqa: F401
+
 #: Python workers get texts in batches of about this many bytes.
 BATCH_BYTES = 16 << 20
 BATCH_ROWS = 2000
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def limit_batches(spark: SparkSession) -> None:
@@ -27,12 +27,6 @@ def limit_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or where it is unset one in the warehouse."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints").rstrip("/")
-
-
 def pick(df: DataFrame, *names: str) -> DataFrame:
     """The named columns only, found by exact spelling: others may repeat a name in other letters."""
     places = [df.columns.index(name) for name in names]
@@ -41,40 +35,6 @@ def pick(df: DataFrame, *names: str) -> DataFrame:
     )
 
 
-def stage(df: DataFrame) -> DataFrame:
-    """The frame written to the shared folder as Parquet and read back.
-
-    It cuts the lineage, so that lost executors cost no more than their running tasks, and fixes
-    row keys that depend on the partitioning. The tables of an application lie together in one
-    folder named after it, to be removed with the other checkpoints of that application.
-    """
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
-    # Shuffle files are of no use once the table is written; else they stay until the driver's next
-    # garbage collection.
-    before = spark.conf.get(_CLEANUP, None)
-    try:
-        if before is not None:
-            spark.conf.set(_CLEANUP, "true")
-        # By place, as names may differ in their case only.
-        names = [f"_{i}" for i in range(len(df.columns))]
-        plain = df.toDF(*names)
-        plain.write.parquet(path)
-    finally:
-        if before is not None:
-            spark.conf.set(_CLEANUP, before)
-    out = spark.read.schema(plain.schema).parquet(path).toDF(*df.columns)
-    out.staged_path = path
-    return out
-
-
-def discard(staged: DataFrame) -> None:
-    """Remove a staged table that nothing reads any more."""
-    jvm = staged.sparkSession._jvm
-    path = jvm.org.apache.hadoop.fs.Path(staged.staged_path)
-    path.getFileSystem(staged.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts behind one another, and where each begins (one more at the end)."""
     if isinstance(column, pa.ChunkedArray):
