@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pledgemart.functions.measures import ratio
+from pledgemart.operators.staging import stage
 from pledgemart.plans import present
 from pledgemart.queries import marts, views
 from pledgemart.queries.views import VIEW_SQL, with_views
@@ -253,11 +254,15 @@ _HEADLINE_SQL = with_views(f"""
 _DIGITS = 9
 
 
-def category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    summary = present.category_summary(marts.campaign_kpi(spark, sf_dir))
+def _summary(campaign_kpi: DataFrame) -> DataFrame:
+    summary = present.category_summary(campaign_kpi)
     return summary.withColumns({c: F.round(c, _DIGITS) for c in ("avg_positive_rate", "avg_negative_rate")})
 
 
+def category_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _summary(marts.campaign_kpi(spark, sf_dir))
+
+
 VIEW_SQL["rated"] = (["campaign_kpi"], """
     SELECT *, CASE WHEN comment_cnt > 0 THEN CAST(positive_comment_cnt AS DOUBLE) / comment_cnt END AS positive_rate,
       CASE WHEN comment_cnt > 0 THEN CAST(negative_comment_cnt AS DOUBLE) / comment_cnt END AS negative_rate
@@ -273,10 +278,14 @@ VIEW_SQL["category_summary"] = (["rated"], f"""
 
 def performance_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Against the category summary; categories of odd number lack a funding benchmark of their own."""
-    bench = category_summary(spark, sf_dir)
+    # Read by the summary and by the index, so built once for both.
+    columns = "campaign_id category_name total_funding_amount achievement_rate participation_cnt signature_cnt"
+    comments = "positive_comment_cnt negative_comment_cnt comment_cnt"
+    mart = stage(marts.campaign_kpi(spark, sf_dir).select(*columns.split(), *comments.split()))
+    bench = _summary(mart)
     known = F.regexp_extract("category_name", r"(\d+)$", 1).cast("int") % 2 == 0
     bench = bench.withColumn("avg_funding_amount", F.when(known, F.col("avg_funding_amount")))
-    index = present.performance_index(marts.campaign_kpi(spark, sf_dir), bench)
+    index = present.performance_index(mart, bench)
     return index.select(
         "campaign_id", "category_name", "metric_no", "metric",
         *[F.round(c, 6).alias(c) for c in ("value", "category_average", "index", "index_difference")],

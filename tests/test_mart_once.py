@@ -30,3 +30,22 @@ def test_category_summary_builds_the_mart_once(spark):
     got = {r[0]: tuple(r)[1:] for r in out.collect()}
     assert got == {"a": (4, 17.5, 0.375, 15.0), "b": (1, None, None, None)}
     assert built.value == len(ROWS)
+
+def test_picker_builds_the_mart_once_and_only_what_it_shows(spark):
+    columns = "campaign_id long, title string, maker_name string, status_simplified string, remaining_day long, total_funding_amount long, avg_supporter_backing_amount double"
+    rows = [(1, "b", "m", "open", 3, 5, 1.0), (1, "a", "z", "open", 3, 5, 9.0), (1, "a", "n", "open", 3, 5, None), (1, "c", "c", "open", 3, None, 1.0), (None, None, None, None, None, None, None), (2, "x", "y", "open", 3, 6, 0.0)]
+    mart, built = counted(spark, columns, rows)
+    got = [tuple(r)[:3] for r in present.campaign_picker(mart).collect()]
+    assert [r[:2] for r in got] == [(2, "y"), (1, "n"), (None, None)] and got[1][2].startswith("a · 1 · open")
+    assert built.value == len(rows)
+    # Nothing behind title and maker is asked of the mart.
+    lazy = spark.createDataFrame(rows, columns).withColumn("avg_supporter_backing_amount", F.raise_error(F.lit("not shown")).cast("double"))
+    assert present.campaign_picker(lazy).count() == 3
+
+def test_performance_index_builds_the_mart_once(spark):
+    mart, built = counted(spark)
+    bench = spark.createDataFrame([("a", 100.0)], "category_name string, avg_funding_amount double")
+    out = present.performance_index(mart, bench).where("metric = 'total_funding_amount'")
+    got = [(r["campaign_id"], r["index"]) for r in out.collect()]
+    assert sorted(got, key=repr) == sorted([(1, 10.0), (1, 10.0), (2, 30.0), (None, 20.0)], key=repr)
+    assert built.value == len(ROWS)
