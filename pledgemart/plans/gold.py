@@ -13,6 +13,7 @@ from pledgemart.operators.dedup import first_per_group
 from pledgemart.operators.history import change, change_rate, with_previous
 from pledgemart.operators.partials import day_partials, merge_partials
 from pledgemart.operators.quality import assert_public
+from pledgemart.operators.staging import stage
 
 _CAMPAIGN = "campaign_id"
 
@@ -292,10 +293,12 @@ def campaign_category_benchmark(campaign_kpi: DataFrame) -> DataFrame:
 
     The category side is small as a rule, but nothing bounds it: AQE broadcasts it if its
     measured size allows, else it splits a category that holds much of the campaigns.
+    What is read of the mart is staged, a row per campaign: each of the three readers would build it anew.
     """
+    selected = "total_funding_amount achievement_rate participation_cnt signature_cnt wish_user_cnt comment_cnt"
     base = campaign_kpi.where(F.col("category_name").isNotNull())
+    base = stage(base.select(*"campaign_id dt title category_name".split(), *selected.split()))
     stats = category_statistics(base)
-    selected = "total_funding_amount achievement_rate participation_cnt signature_cnt wish_user_cnt comment_cnt"
     against = lambda own, avg, name: ratio(F.col(own), F.col(avg)).alias(name)
     return base.join(stats, "category_name", "left").select(
         *"campaign_id dt title category_name".split(),

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from pledgemart.plans import present
+from pledgemart.plans import gold, present
 
 COLUMNS = "campaign_id long, category_name string, total_funding_amount long, achievement_rate double, participation_cnt long, signature_cnt long, positive_comment_cnt long, negative_comment_cnt long, comment_cnt long"
 ROWS = [
@@ -31,6 +31,16 @@ def test_category_summary_builds_the_mart_once(spark):
     assert got == {"a": (4, 17.5, 0.375, 15.0), "b": (1, None, None, None)}
     assert built.value == len(ROWS)
 
+
+def test_category_benchmark_builds_the_mart_once(spark):
+    mart, built = counted(spark)
+    mart = mart.select("*", F.lit("20240101").alias("dt"), F.lit("t").alias("title"), F.lit(2).cast("bigint").alias("wish_user_cnt"))
+    out = gold.campaign_category_benchmark(mart)
+    got = sorted(((r.campaign_id, r.category_campaign_cnt, r.category_avg_funding_amount, r.category_median_funding_amount) for r in out.collect()), key=repr)
+    assert got == sorted([(1, 2, 17.5, 10.0), (1, 2, 17.5, 10.0), (2, 2, 17.5, 10.0), (4, 1, None, None), (None, 2, 17.5, 10.0)], key=repr)
+    assert built.value == len(ROWS)
+
+
 def test_picker_builds_the_mart_once_and_only_what_it_shows(spark):
     columns = "campaign_id long, title string, maker_name string, status_simplified string, remaining_day long, total_funding_amount long, avg_supporter_backing_amount double"
     rows = [(1, "b", "m", "open", 3, 5, 1.0), (1, "a", "z", "open", 3, 5, 9.0), (1, "a", "n", "open", 3, 5, None), (1, "c", "c", "open", 3, None, 1.0), (None, None, None, None, None, None, None), (2, "x", "y", "open", 3, 6, 0.0)]
@@ -42,6 +52,7 @@ def test_picker_builds_the_mart_once_and_only_what_it_shows(spark):
     lazy = spark.createDataFrame(rows, columns).withColumn("avg_supporter_backing_amount", F.raise_error(F.lit("not shown")).cast("double"))
     assert present.campaign_picker(lazy).count() == 3
 
+
 def test_performance_index_builds_the_mart_once(spark):
     mart, built = counted(spark)
     bench = spark.createDataFrame([("a", 100.0)], "category_name string, avg_funding_amount double")
