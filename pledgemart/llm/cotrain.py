@@ -129,21 +129,25 @@ def _first(rows: DataFrame, key: str, *order: str) -> DataFrame:
 
 
 def _samples(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The labelled rows, one per id, with ``label``; and all other texts, one row each."""
+    """Of the rows of ``counted`` the labelled ones, one per id, with ``label``; and all other texts, one row each; both with their views."""
     given = labels.filter("doc_id IS NOT NULL AND label IS NOT NULL").groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("other"))
     given = given.filter("label = other").select("doc_id", F.col("label").cast("double").alias("label"))
     ids = stage(rows.select("doc_id").filter("doc_id IS NOT NULL").distinct().join(given, "doc_id"))
     few = ids.filter(_part("doc_id", LABELLED_MOST / max(1, ids.count())))
     # LABELLED_MOST ids, or nearly so; below, as many texts. Copies of a labelled text are left out of the rest.
-    known = stage(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", "page_key"))
+    known = stage(views(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", "page_key")))
     discard(ids)
     rest = rows.join(F.broadcast(known.select("text_key").distinct()), "text_key", "left_anti")
-    return known, stage(_first(rest, "text_key", "doc_id", "page_key"))
+    # Counts of words take less disk than their shares in the views, which are written when the shuffle's files are gone.
+    rest = stage(_first(rest, "text_key", "doc_id", "page_key"))
+    pool = stage(views(rest))
+    discard(rest)
+    return known, pool
 
 
 def train(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
     """Co-train on ``docs`` (doc_id, text) and ``labels`` (doc_id, label: 1 good, 0 not)."""
-    return _train(stage(views(counted(docs))), labels, rounds, sure)
+    return _train(stage(counted(docs)), labels, rounds, sure)
 
 
 def _train(all_rows: DataFrame, labels: DataFrame, rounds: int = ROUNDS, sure: float = SURE) -> Model:
@@ -200,7 +204,9 @@ def _told(models: dict[str, LogisticRegressionModel], pool: DataFrame, sure: flo
         f"{name}_label": F.when(is_sure(other) & ~(is_sure(name) & apart), (F.col(f"{other}_odds") > 0).cast("double"))
         for name, other in (("text", "meta"), ("meta", "text"))
     }
-    return judged.withColumns(labels).drop("text_odds", "meta_odds").filter(" OR ".join(f"{c} IS NOT NULL" for c in labels))
+    told = judged.withColumns(labels).drop("text_odds", "meta_odds").filter(" OR ".join(f"{c} IS NOT NULL" for c in labels))
+    # A view is kept where it is to be learnt from.
+    return told.select(*(F.when(F.col(f"{n}_label").isNotNull(), F.col(f"{n}_view")).alias(f"{n}_view") for n in models), *labels)
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -210,5 +216,5 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -
     scored and may get pseudo-labels only; ids with both labels count as unlabelled; of several texts of a
     labelled id one is taken, by its hash; other columns are ignored; an empty table gives no rows.
     """
-    rows = stage(views(counted(docs)))
-    return _train(rows, labels).score(rows).withColumn("kept", F.col("score") >= threshold)
+    rows = stage(counted(docs))
+    return _train(rows, labels).score(views(rows)).withColumn("kept", F.col("score") >= threshold)

@@ -62,3 +62,20 @@ def test_awkward_rows_and_labels(spark, awkward):
     out = cotrain.classify(awkward, labels).collect()
     assert len(out) == awkward.count() and {r.score for r in out} <= {0.5, 1.0}
     assert cotrain.classify(awkward.limit(0), labels).count() == 0
+
+
+def test_counts_are_staged_and_views_only_where_they_are_learnt_from(spark, monkeypatch):
+    sf, staged, stage = "/root/testdata/sf0.01", [], cotrain.stage
+
+    def noted(df):
+        out = stage(df)
+        # Taken at once: the rounds remove their tables.
+        unused = sum(out.filter(f"{n}_label IS NULL AND {n}_view IS NOT NULL").count() for n in ("text", "meta") if f"{n}_label" in out.columns)
+        staged.append((out.columns, unused))
+        return out
+
+    monkeypatch.setattr(cotrain, "stage", noted)
+    monkeypatch.setattr(cotrain, "ROUNDS", 1)
+    assert cotrain.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels_of(spark, sf)).count() > 0
+    assert "tf" in staged[0][0] and "text_view" not in staged[0][0]
+    assert any("text_label" in columns for columns, _ in staged) and not any(unused for _, unused in staged)
