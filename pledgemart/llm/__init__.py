@@ -4,5 +4,8 @@ import sys
 
 from pyspark import cloudpickle
 
-# Python workers get the functions of this package by value, so they need no copy of it.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+from pledgemart.operators import staging
+
+# Python workers get the functions of this package, and those it stages with, by value, so they need no copy of it.
+for module in (sys.modules[__name__], staging):
+    cloudpickle.register_pickle_by_value(module)
