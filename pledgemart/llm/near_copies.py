@@ -11,7 +11,9 @@ keep the groups that meet small. Which are frequent is counted in a table of fix
 
 Texts that meet at one shingle are not expanded into pairs: in each round a few of them are compared with
 all others and leave the group, and texts that are linked already, also over others, are not compared
-again. Rounds go on until no group has two texts that are not linked.
+again. Rounds go on until no group has two texts that are not linked. As fewer and larger groups are left,
+more of their texts are taken in a round, so that the number of rounds, and of the driver's jobs, grows with
+the logarithm of a group. New links join the components found before; a round without any leaves them alone.
 
 Most pairs that meet share a passage and little else. How many shingles of a text fall into each of some
 buckets is kept beside it, in about half a byte per shingle; what two texts share can't be more than the
@@ -38,8 +40,10 @@ SHINGLE_WORDS = 5
 SHARED, OF = 4, 5
 #: Places of the table that frequent shingles are counted in.
 TABLE = 1 << 20
-#: About how many texts of each group meet all others in the first, second, ... and all further rounds.
+#: About how many texts of each group meet all others in the first, second, ... rounds; then four times as many as in the
+#: round before, as long as they and those they meet are PAIRS times the rows of all groups at most.
 CENTRES = (1, 4, 16, 64)
+PAIRS = 8
 #: The least and the most buckets of a text's counts.
 BUCKETS = (16, 4096)
 _digest = partial(xxh64_intdigest, seed=42)
@@ -168,6 +172,10 @@ def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, ends: DataFrame
             yield batch.select([0, 1]).filter(pa.array(yes, pa.bool_()))
 
     open_ = stage(sized.mapInArrow(sift, "a long, b long"))
+    if open_.isEmpty():
+        discard(pairs)
+        discard(counts)
+        return open_
     # Staged, so that their size is known when Spark chooses how to find the texts.
     rows = stage(first.join(_keys_of(open_), "key").select("row_key"))
     texts = stage(pick(keyed, "row_key", "key", text).toDF("row_key", "key", "t").join(rows, "row_key").select("key", "t"))
@@ -213,30 +221,52 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
     met = ends.where("token IS NOT NULL").select("token", "key", "size")
     met = met.select("*", *(F.expr(f"{n}(key) OVER (PARTITION BY token)").alias(n) for n in ("min", "max")))
     links = _alike(fingerprint_pairs(first), keyed, first, ends, text)
-    roots, turn = stage(components(links)), 0
+    roots, turn, most = stage(components(links)), 0, CENTRES[0]
+    discard(links)
     left = _unlinked(met.filter("min != max").select("token", "key", "size").distinct(), roots)
+    rows = left.count()
     while not left.isEmpty():
         # Of each token's texts other ones each time, one at least, so that a large group is soon linked throughout.
-        lot = F.xxhash64("key", "token", F.lit(turn))
-        drawn = left.withColumn("lot", lot)
+        drawn = left.withColumn("lot", F.xxhash64("key", "token", F.lit(turn)))
         lots = drawn.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("lot", "key")).alias("least"))
-        is_centre = (F.col("least") == F.struct("lot", "key")) | (F.pmod("lot", "n") < CENTRES[min(turn, len(CENTRES) - 1)])
+        most = CENTRES[turn] if turn < len(CENTRES) else _next(most, lots, rows)
+        is_centre = (F.col("least") == F.struct("lot", "key")) | (F.pmod("lot", "n") < most)
         centre = stage(drawn.join(lots, "token").where(is_centre).select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b")))
         pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b")).filter(_can_be_alike(F.col("size"), F.col("size_b")))
         found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, ends, text)
-        links = stage(links.union(found))
-        roots = stage(components(links))
+        if not found.isEmpty():
+            joined = _joined(roots, found)
+            discard(roots)
+            roots = joined
         # Centres have met all others; a token whose other texts are all linked has nothing to tell.
         rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti").select("token", "key", "size")
         still = _unlinked(rest, roots)
         for used in (left, centre, found):
             discard(used)
         left, turn = still, turn + 1
-    for used in (ends, left, links):
+    for used in (ends, left):
         discard(used)
     return roots
 
 
+def _next(most: int, lots: DataFrame, rows: int) -> int:
+    """How many texts of each group to take after a round with ``most``: four times as many, or as few again if that makes too many pairs."""
+    n = lots.agg(F.sum(F.least(F.col("n"), F.lit(4 * most)) * F.col("n").cast("double"))).first()[0]
+    return 4 * most if n <= PAIRS * rows else most
+
+
+def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, root) of ``roots`` and of the nodes of ``links`` (a, b), after these: only the links between components are followed."""
+    for c in ("a", "b"):
+        links = links.join(roots.toDF(c, f"root_{c}"), c, "left").withColumn(f"root_{c}", F.coalesce(f"root_{c}", c))
+    moved = stage(components(links.select(F.col("root_a").alias("a"), F.col("root_b").alias("b"))))
+    kept = roots.join(moved.toDF("root", "moved"), "root", "left").select("node", F.coalesce("moved", "root").alias("root"))
+    # A node that had no link before was its own root.
+    out = stage(kept.union(moved.join(roots.select("node"), "node", "left_anti").select("node", "root")))
+    discard(moved)
+    return out
+
+
 def keep_one(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with one row of each group of near copies: that of its smallest ``doc_id``, of equal ids any one.
 

@@ -79,3 +79,29 @@ def test_awkward_rows(spark, awkward):
     assert set(rows) <= {tuple(r) for r in awkward.collect()}
     assert sorted((r[0] is None, r[0] or 0) for r in rows) == [(False, i) for i in (1, 3, 6, 7, 8)] + [(True, 0)]
     assert near_copies.keep_one(awkward.limit(0)).count() == 0
+
+
+def test_rounds_of_a_large_group_stay_few(spark, monkeypatch):
+    """Texts that share a passage and are not alike: more of them meet in each round, and without new links no component is sought."""
+    common = " ".join(f"c{i}" for i in range(12))
+    docs = spark.createDataFrame([(i, f"{common} a{i} b{i}") for i in range(200)], "doc_id long, text string")
+    calls, alike, components = [], near_copies._alike, near_copies.components
+
+    def counted(*given):
+        calls.append("round")
+        assert calls.count("round") < 9
+        return alike(*given)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    monkeypatch.setattr(near_copies, "components", lambda edges: calls.append("components") or components(edges))
+    monkeypatch.setattr(near_copies, "CENTRES", (1,))
+    monkeypatch.setattr(near_copies, "PAIRS", 200, raising=False)
+    assert near_copies.keep_one(docs).count() == 200
+    assert calls.count("round") > 3 and calls.count("components") == 1
+
+
+def test_new_links_join_known_components(spark):
+    roots = spark.createDataFrame([(1, 1), (4, 1), (2, 2), (6, 2), (3, 3), (9, 3)], "node long, root long")
+    links = spark.createDataFrame([(4, 6), (7, 8), (8, 9), (5, 10)], "a long, b long")
+    got = {r.node: r.root for r in near_copies._joined(roots, links).collect()}
+    assert got == {1: 1, 4: 1, 2: 1, 6: 1, 3: 3, 9: 3, 7: 3, 8: 3, 5: 5, 10: 5}
