@@ -12,8 +12,8 @@ keep the groups that meet small. Which are frequent is counted in a table of fix
 Texts that meet at one shingle are not expanded into pairs: in each round a few of them are compared with
 all others and leave the group, and texts that are linked already, also over others, are not compared
 again. Rounds go on until no group has two texts that are not linked. As fewer and larger groups are left,
-more of their texts are taken in a round, so that the number of rounds, and of the driver's jobs, grows with
-the logarithm of a group. New links join the components found before; a round without any leaves them alone.
+more of their texts are taken in a round, as far as the pairs keep in step with the rows, so that rounds, and
+the driver's jobs, are fewer. New links join the components found before; a round without any leaves them alone.
 
 Most pairs that meet share a passage and little else. How many shingles of a text fall into each of some
 buckets is kept beside it, in about half a byte per shingle; what two texts share can't be more than the
