@@ -9,11 +9,18 @@ first fifth (and one more) of each. Only those are compared, so no pair is misse
 meets is checked on the whole sets. Any order gives the same result: frequent shingles are put last to
 keep the groups that meet small. Which are frequent is counted in a table of fixed size.
 
+Two alike texts meet at the first shingle they share, and share nothing before it: the later its place in
+a text, the less can be shared, and the smaller the other text must be (``reach``). Pairs beyond it meet at
+an earlier shingle or are not alike. Of two texts within reach the smaller one reaches its own size at least; only
+rows that do (they lead) need to meet the others of their group.
+
 Texts that meet at one shingle are not expanded into pairs: in each round a few of them are compared with
 all others and leave the group, and texts that are linked already, also over others, are not compared
-again. Rounds go on until no group has two texts that are not linked. As fewer and larger groups are left,
-more of their texts are taken in a round, as far as the pairs keep in step with the rows, so that rounds, and
-the driver's jobs, are fewer. New links join the components found before; a round without any leaves them alone.
+again. The same texts are taken in all groups they are in, so that texts that share much meet once. Rounds go
+on until no group has two texts that are not linked. As fewer and larger groups are left, more of their texts
+are taken in a round, as far as the rows that meet keep in step with the rows, so that rounds, and the driver's
+jobs, are fewer; where they would not, only leading rows are taken, or those outside the group's largest component
+if these are fewer. New links join the components found before; a round without any leaves them alone.
 
 Most pairs that meet share a passage and little else. How many shingles of a text fall into each of some
 buckets is kept beside it, in about half a byte per shingle; what two texts share can't be more than the
@@ -41,9 +48,11 @@ SHARED, OF = 4, 5
 #: Places of the table that frequent shingles are counted in.
 TABLE = 1 << 20
 #: About how many texts of each group meet all others in the first, second, ... rounds; then four times as many as in the
-#: round before, as long as they and those they meet are PAIRS times the rows of all groups at most.
+#: round before, as long as the rows that meet are PAIRS times the rows of all groups at most.
 CENTRES = (1, 4, 16, 64)
 PAIRS = 8
+#: Texts of a group are drawn by one of so many lots.
+LOTS = 1 << 30
 #: The least and the most buckets of a text's counts.
 BUCKETS = (16, 4096)
 _digest = partial(xxh64_intdigest, seed=42)
@@ -82,6 +91,11 @@ def may_be_alike(a: bytes, b: bytes, size_a: int, size_b: int) -> bool:
     return both * OF >= SHARED * (size_a + size_b - both)
 
 
+def reach_of(size: int, place: np.ndarray) -> np.ndarray:
+    """The most shingles of a text that is alike to one of ``size`` shingles, if the first they share has this place (from 0) in it."""
+    return np.minimum((SHARED + OF) * (size - place) // SHARED - size, size * OF // SHARED)
+
+
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``row_key`` (unique), ``key``, the same for texts of the same words, and their fingerprint ``fp``; stage it before reading it twice."""
     place = docs.columns.index(text)
@@ -120,13 +134,13 @@ def _frequent(texts: DataFrame) -> np.ndarray:
 
 
 def _first_shingles(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """token, key, size (of the whole set) for the first fifth of each text's shingles, and one more; a row without a token has the text's counts."""
+    """token, key, size (of the whole set), reach for the first fifth of each text's shingles, and one more; a row without a token has the text's counts."""
     sent = texts.sparkSession.sparkContext.broadcast(table)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = sent.value, set()
         for batch in batches:
-            tokens, keys, sizes, counts = [], [], [], []
+            tokens, keys, sizes, reaches, counts = [], [], [], [], []
             for t in batch.column(0):
                 key, found = shingles_of(t.as_py())
                 if key in seen or not len(found):  # copies of a task need no second look
@@ -137,21 +151,23 @@ def _first_shingles(texts: DataFrame, table: np.ndarray) -> DataFrame:
                 tokens.append(found[order])
                 keys.append(np.full(most, key, np.uint64))
                 sizes.append(np.full(most, len(found), np.int32))
+                reaches.append(reach_of(len(found), np.arange(most)).astype(np.int32))
                 counts.append(counts_of(found))
             if tokens:
-                whole = [np.concatenate(x) for x in (tokens, keys, sizes)]
+                whole = [np.concatenate(x) for x in (tokens, keys, sizes, reaches)]
                 n = len(whole[0])
-                yield pa.RecordBatch.from_arrays([pa.array(whole[0].view(np.int64)), pa.array(whole[1].view(np.int64)), pa.array(whole[2]), pa.nulls(n, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(whole[0].view(np.int64)), pa.array(whole[1].view(np.int64)), pa.array(whole[2]), pa.array(whole[3]), pa.nulls(n, pa.binary())], names=names)
                 firsts = [(k[0].view(np.int64), s[0]) for k, s in zip(keys, sizes, strict=True)]
                 n = len(firsts)
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([k for k, _ in firsts], pa.int64()), pa.array([s for _, s in firsts], pa.int32()), pa.array(counts, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([k for k, _ in firsts], pa.int64()), pa.array([s for _, s in firsts], pa.int32()), pa.nulls(n, pa.int32()), pa.array(counts, pa.binary())], names=names)
 
-    names = ["token", "key", "size", "counts"]
-    return texts.mapInArrow(run, "token long, key long, size int, counts binary")
+    names = ["token", "key", "size", "reach", "counts"]
+    return texts.mapInArrow(run, "token long, key long, size int, reach int, counts binary")
 
 
-def _can_be_alike(a: Column, b: Column) -> Column:
-    return F.least(a, b) * OF >= F.greatest(a, b) * SHARED
+def _can_be_alike(size_a: Column, reach_a: Column, size_b: Column, reach_b: Column) -> Column:
+    """Whether texts that meet at a shingle can be alike if they share none before it."""
+    return (size_a <= reach_b) & (size_b <= reach_a)
 
 
 def _keys_of(pairs: DataFrame) -> DataFrame:
@@ -161,6 +177,8 @@ def _keys_of(pairs: DataFrame) -> DataFrame:
 def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, ends: DataFrame, text: str) -> DataFrame:
     """The pairs (a, b) of keys whose texts are alike; ``first`` has the row_key of one text per key, ``ends`` the counts."""
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    if pairs.isEmpty():
+        return pairs
     counts = ends.where("token IS NULL").select("key", "size", "counts").join(_keys_of(pairs), "key")
     # Copies in several tasks have the same counts.
     counts = stage(counts.groupBy("key").agg(F.first("size").alias("size"), F.first("counts").alias("counts")))
@@ -202,13 +220,11 @@ def fingerprint_pairs(first: DataFrame) -> DataFrame:
 
 
 def _unlinked(rest: DataFrame, roots: DataFrame) -> DataFrame:
-    """``rest`` (token, key, size) with the root of each key, of tokens whose texts are not all linked."""
+    """``rest`` (token, key, size, reach) with the root of each key, of tokens whose texts are not all linked."""
     rest = rest.join(roots.withColumnRenamed("node", "key"), "key", "left")
-    rest = stage(rest.select("token", "key", "size", F.coalesce("root", "key").alias("root")))
-    open_ = rest.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo != hi").select("token")
-    still = stage(rest.join(open_, "token"))
-    discard(rest)
-    return still
+    rest = rest.select("token", "key", "size", "reach", F.coalesce("root", "key").alias("root"))
+    rest = rest.select("*", *(F.expr(f"{f}(root) OVER (PARTITION BY token)").alias(n) for f, n in (("min", "lo"), ("max", "hi"))))
+    return stage(rest.filter("lo != hi").drop("lo", "hi"))
 
 
 def groups(keyed: DataFrame, text: str) -> DataFrame:
@@ -218,29 +234,35 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
     texts = keyed.select(text)
     ends = stage(_first_shingles(texts, _frequent(texts)))
     # Of one token's texts only rows are sorted, never gathered; most tokens have one text and go at once.
-    met = ends.where("token IS NOT NULL").select("token", "key", "size")
+    met = ends.where("token IS NOT NULL").select("token", "key", "size", "reach")
     met = met.select("*", *(F.expr(f"{n}(key) OVER (PARTITION BY token)").alias(n) for n in ("min", "max")))
     links = _alike(fingerprint_pairs(first), keyed, first, ends, text)
     roots, turn, most = stage(components(links)), 0, CENTRES[0]
     discard(links)
-    left = _unlinked(met.filter("min != max").select("token", "key", "size").distinct(), roots)
-    rows = left.count()
+    left = _unlinked(met.filter("min != max").select("token", "key", "size", "reach").distinct(), roots)
+    rows, sifted = left.count(), False
     while not left.isEmpty():
         # Of each token's texts other ones each time, one at least, so that a large group is soon linked throughout.
-        drawn = left.withColumn("lot", F.xxhash64("key", "token", F.lit(turn)))
-        lots = drawn.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("lot", "key")).alias("least"))
-        most = CENTRES[turn] if turn < len(CENTRES) else _next(most, lots, rows)
-        is_centre = (F.col("least") == F.struct("lot", "key")) | (F.pmod("lot", "n") < most)
-        centre = stage(drawn.join(lots, "token").where(is_centre).select("token", F.col("key").alias("b"), F.col("size").alias("size_b"), F.col("root").alias("root_b")))
-        pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b")).filter(_can_be_alike(F.col("size"), F.col("size_b")))
+        able = left.withColumn("able", F.lit(True))
+        if turn < len(CENTRES):
+            most = CENTRES[turn]
+        else:
+            fits = not sifted and _met(able, 4 * most) <= PAIRS * rows
+            if not fits:
+                sifted, able = True, _sifted(left)
+                fits = _met(able, 4 * most) <= PAIRS * rows
+            most = 4 * most if fits else most
+        centre = stage(_centres(able, turn, most))
+        pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b"))
+        pairs = pairs.filter(_can_be_alike(F.col("size"), F.col("reach"), F.col("size_b"), F.col("reach_b")))
         found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, ends, text)
         if not found.isEmpty():
             joined = _joined(roots, found)
             discard(roots)
             roots = joined
-        # Centres have met all others; a token whose other texts are all linked has nothing to tell.
-        rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti").select("token", "key", "size")
-        still = _unlinked(rest, roots)
+        # Centres have met all others; a token whose other texts are all linked has nothing to tell, nor has one without centres.
+        rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti").select("token", "key", "size", "reach")
+        still = _unlinked(rest.join(centre.select("token").distinct(), "token", "left_semi") if sifted else rest, roots)
         for used in (left, centre, found):
             discard(used)
         left, turn = still, turn + 1
@@ -249,10 +271,28 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
     return roots
 
 
-def _next(most: int, lots: DataFrame, rows: int) -> int:
-    """How many texts of each group to take after a round with ``most``: four times as many, or as few again if that makes too many pairs."""
-    n = lots.agg(F.sum(F.least(F.col("n"), F.lit(4 * most)) * F.col("n").cast("double"))).first()[0]
-    return 4 * most if n <= PAIRS * rows else most
+def _sifted(left: DataFrame) -> DataFrame:
+    """``left`` with ``able``: whether a row must meet the others of its token. Every pair within reach has a leading row, and one outside the largest component."""
+    leads = F.col("reach") >= F.col("size")
+    about = left.groupBy("token", "root").agg(F.count("*").alias("n"), F.count(F.when(leads, 1)).alias("leading"))
+    about = about.groupBy("token").agg(F.sum("n").alias("n"), F.sum("leading").alias("leading"), F.max(F.struct("n", "root")).alias("top"))
+    about = about.select("token", (F.col("leading") <= F.col("n") - F.col("top.n")).alias("few_lead"), F.col("top.root").alias("top"))
+    able = F.when(F.col("few_lead"), leads).otherwise(F.col("root") != F.col("top"))
+    return left.join(about, "token").select("token", "key", "size", "reach", "root", able.alias("able"))
+
+
+def _met(able: DataFrame, most: int) -> float:
+    """How many rows meet in a round that takes ``most`` texts of each group."""
+    lots = able.groupBy("token").agg(F.count("*").alias("n"), F.count(F.when(F.col("able"), 1)).alias("able"))
+    return lots.agg(F.sum(F.least(F.col("able"), F.lit(most)) * F.col("n").cast("double"))).first()[0]
+
+
+def _centres(able: DataFrame, turn: int, most: int) -> DataFrame:
+    """token, b, size_b, reach_b, root_b of about ``most`` able rows of each token, one at least; a text has the same lot in all groups."""
+    drawn = able.where("able").withColumn("lot", F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(LOTS)))
+    lots = drawn.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("lot", "key")).alias("least"))
+    is_centre = (F.col("least") == F.struct("lot", "key")) | (F.col("lot") * F.col("n") < most * LOTS)
+    return drawn.join(lots, "token").where(is_centre).select("token", *(F.col(c).alias(f) for c, f in (("key", "b"), ("size", "size_b"), ("reach", "reach_b"), ("root", "root_b"))))
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:

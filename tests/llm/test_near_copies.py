@@ -105,3 +105,39 @@ def test_new_links_join_known_components(spark):
     links = spark.createDataFrame([(4, 6), (7, 8), (8, 9), (5, 10)], "a long, b long")
     got = {r.node: r.root for r in near_copies._joined(roots, links).collect()}
     assert got == {1: 1, 4: 1, 2: 1, 6: 1, 3: 3, 9: 3, 7: 3, 8: 3, 5: 5, 10: 5}
+
+
+def test_alike_texts_are_within_reach_at_the_first_shingle_they_share():
+    rng, alike = random.Random(9), 0
+    for _ in range(2000):
+        a = [rng.getrandbits(64) for _ in range(rng.choice([1, 4, 9, 40, 300]))]
+        b = [x for x in a if rng.random() > rng.choice([0, 0.1, 0.2])]
+        b += [rng.getrandbits(64) for _ in range(rng.randrange(1 + len(a) // 5))]
+        x, y = (np.unique(np.array(v or [1], np.uint64)) for v in (a, b))
+        if near_copies.are_alike(x, y):
+            first = np.intersect1d(x, y)[0]
+            reach_x, reach_y = (int(near_copies.reach_of(len(v), np.searchsorted(v, first))) for v in (x, y))
+            assert len(x) <= reach_y and len(y) <= reach_x
+            alike += 1
+    assert alike > 500
+
+
+def test_pairs_of_large_groups_keep_in_step_with_rows(spark, monkeypatch):
+    """Edited copies of one text, and texts with one passage as their greater part: few pairs are compared, few rounds needed."""
+    rng = random.Random(4)
+    base = [f"b{i}" for i in range(60)]
+    texts = [" ".join(w if rng.random() > 0.02 else f"x{rng.randrange(10**6)}" for w in base) for _ in range(200)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    texts += [" ".join([passage, *(f"q{rng.randrange(10**6)}" for _ in range(rng.randint(13, 15)))]) for _ in range(200)]
+    docs = list(enumerate(texts))
+    pairs, alike = [], near_copies._alike
+
+    def counted(met, *given):
+        pairs.append(met.distinct().count())
+        return alike(met, *given)
+
+    monkeypatch.setattr(near_copies, "_alike", counted)
+    monkeypatch.setattr(near_copies, "CENTRES", (1, 4))
+    kept = {r.doc_id for r in near_copies.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
+    assert kept == brute_kept(docs)
+    assert sum(pairs) < 20 * len(texts) and len(pairs) < 12, pairs
