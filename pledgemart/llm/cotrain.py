@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import math
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import FeatureHasher, HashingTF, Normalizer, VectorAssembler
@@ -32,6 +33,8 @@ PSEUDO_WEIGHT = 0.5
 CALIBRATION = 4
 WORD_FEATURES, META_FEATURES = 1 << 12, 1 << 8
 THRESHOLD = 0.5
+#: Copies of texts are dropped in so many parts, one after the other.
+PARTS = 4
 
 _CONTENT = ["t_digits", "t_capitals", "t_word_length"]
 _LAYOUT = ["m_size", "m_lines", "m_signs", "m_distinct"]
@@ -138,10 +141,12 @@ def _samples(rows: DataFrame, labels: DataFrame) -> tuple[DataFrame, DataFrame]:
     known = stage(views(_first(rows.join(F.broadcast(few), "doc_id"), "doc_id", "text_key", "page_key")))
     discard(ids)
     rest = rows.join(F.broadcast(known.select("text_key").distinct()), "text_key", "left_anti")
-    # Counts of words take less disk than their shares in the views, which are written when the shuffle's files are gone.
-    rest = stage(_first(rest, "text_key", "doc_id", "page_key"))
-    pool = stage(views(rest))
-    discard(rest)
+    # Counts of words take less disk than their shares in the views, which are written when the shuffles' files are gone.
+    # A shuffle's rows take three times the disk of a staged table, so that only one part of the texts is shuffled at a time.
+    parts = [stage(_first(rest.filter(F.pmod("text_key", F.lit(PARTS)) == i), "text_key", "doc_id", "page_key")) for i in range(PARTS)]
+    pool = stage(views(reduce(DataFrame.union, parts)))
+    for part in parts:
+        discard(part)
     return known, pool
 
 

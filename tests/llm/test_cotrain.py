@@ -79,3 +79,22 @@ def test_counts_are_staged_and_views_only_where_they_are_learnt_from(spark, monk
     assert cotrain.classify(spark.read.parquet(f"{sf}/documents.parquet"), labels_of(spark, sf)).count() > 0
     assert "tf" in staged[0][0] and "text_view" not in staged[0][0]
     assert any("text_label" in columns for columns, _ in staged) and not any(unused for _, unused in staged)
+
+
+def test_copies_are_dropped_in_parts(spark, monkeypatch):
+    """No shuffle of the counts of words holds more than a part of the texts; together the parts have every text once."""
+    sf, staged, stage = "/root/testdata/sf0.01", [], cotrain.stage
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+
+    def noted(df):
+        out = stage(df)
+        if "tf" in out.columns:
+            staged.append({r.text_key for r in out.select("text_key").collect()})
+        return out
+
+    rows = stage(cotrain.counted(docs.union(docs)))
+    monkeypatch.setattr(cotrain, "stage", noted)
+    known, rest = cotrain._samples(rows, labels_of(spark, sf).filter("doc_id % 3 = 0"))
+    keys = [r.text_key for r in rest.select("text_key").collect()]
+    assert len(keys) == len(set(keys)) == sum(map(len, staged)) and set(keys) == set().union(*staged)
+    assert max(map(len, staged)) < 0.5 * len(keys)
