@@ -35,7 +35,7 @@ from functools import partial
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from xxhash import xxh64_intdigest
 
 from pledgemart.llm.common import discard, limit_batches, pick, stage
@@ -47,12 +47,10 @@ SHINGLE_WORDS = 5
 SHARED, OF = 4, 5
 #: Places of the table that frequent shingles are counted in.
 TABLE = 1 << 20
-#: About how many texts of each group meet all others in the first, second, ... rounds; then four times as many as in the
+#: How many texts of each group meet all others in the first, second, ... rounds; then four times as many as in the
 #: round before, as long as the rows that meet are PAIRS times the rows of all groups at most.
 CENTRES = (1, 4, 16, 64)
 PAIRS = 8
-#: Texts of a group are drawn by one of so many lots.
-LOTS = 1 << 30
 #: The least and the most buckets of a text's counts.
 BUCKETS = (16, 4096)
 _digest = partial(xxh64_intdigest, seed=42)
@@ -242,7 +240,7 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
     left = _unlinked(met.filter("min != max").select("token", "key", "size", "reach").distinct(), roots)
     rows, sifted = left.count(), False
     while not left.isEmpty():
-        # Of each token's texts other ones each time, one at least, so that a large group is soon linked throughout.
+        # Those taken leave, so that other ones are taken each time.
         able = left.withColumn("able", F.lit(True))
         if turn < len(CENTRES):
             most = CENTRES[turn]
@@ -252,7 +250,7 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
                 sifted, able = True, _sifted(left)
                 fits = _met(able, 4 * most) <= PAIRS * rows
             most = 4 * most if fits else most
-        centre = stage(_centres(able, turn, most))
+        centre = stage(_centres(able, most))
         pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b"))
         pairs = pairs.filter(_can_be_alike(F.col("size"), F.col("reach"), F.col("size_b"), F.col("reach_b")))
         found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, ends, text)
@@ -287,12 +285,11 @@ def _met(able: DataFrame, most: int) -> float:
     return lots.agg(F.sum(F.least(F.col("able"), F.lit(most)) * F.col("n").cast("double"))).first()[0]
 
 
-def _centres(able: DataFrame, turn: int, most: int) -> DataFrame:
-    """token, b, size_b, reach_b, root_b of about ``most`` able rows of each token, one at least; a text has the same lot in all groups."""
-    drawn = able.where("able").withColumn("lot", F.pmod(F.xxhash64("key", F.lit(turn)), F.lit(LOTS)))
-    lots = drawn.groupBy("token").agg(F.count("*").alias("n"), F.min(F.struct("lot", "key")).alias("least"))
-    is_centre = (F.col("least") == F.struct("lot", "key")) | (F.col("lot") * F.col("n") < most * LOTS)
-    return drawn.join(lots, "token").where(is_centre).select("token", *(F.col(c).alias(f) for c, f in (("key", "b"), ("size", "size_b"), ("reach", "reach_b"), ("root", "root_b"))))
+def _centres(able: DataFrame, most: int) -> DataFrame:
+    """token, b, size_b, reach_b, root_b of ``most`` able rows of each token; texts have the same order in all groups."""
+    place = F.row_number().over(Window.partitionBy("token").orderBy("key"))
+    drawn = able.where("able").withColumn("place", place).where(F.col("place") <= most)
+    return drawn.select("token", *(F.col(c).alias(f) for c, f in (("key", "b"), ("size", "size_b"), ("reach", "reach_b"), ("root", "root_b"))))
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:
