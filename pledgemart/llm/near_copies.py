@@ -25,6 +25,8 @@ if these are fewer. New links join the components found before; a round without
 Most pairs that meet share a passage and little else. How many shingles of a text fall into each of some
 buckets is kept beside it, in about half a byte per shingle; what two texts share can't be more than the
 sum of the lesser counts. Only pairs that this does not rule out get their texts, to be compared exactly.
+Counts and texts of a round are looked up in a Bloom filter of the round's pairs before they are moved, so that
+what is shuffled follows from the pairs; the joins drop what the filter lets through besides.
 """
 
 from __future__ import annotations
@@ -34,11 +36,11 @@ from functools import partial
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from xxhash import xxh64_intdigest
 
-from pledgemart.llm.common import discard, limit_batches, pick, stage
+from pledgemart.llm.common import discard, limit_batches, mix, pick, stage
 from pledgemart.llm import simhash
 from pledgemart.llm.components import components
 
@@ -53,6 +55,8 @@ CENTRES = (1, 4, 16, 64)
 PAIRS = 8
 #: The least and the most buckets of a text's counts.
 BUCKETS = (16, 4096)
+#: Bits of a Bloom filter per number in it, and the least and the most bits of it all, as powers of two.
+FILTER_PER, FILTER_BITS = 16, (16, 26)
 _digest = partial(xxh64_intdigest, seed=42)
 
 
@@ -112,33 +116,48 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
     return docs.mapInArrow(run, schema)
 
 
-def _frequent(texts: DataFrame) -> np.ndarray:
-    """How often the shingles of each place of the table occur, 0 where not clearly more often than others."""
+def _tallied(texts: DataFrame) -> DataFrame:
+    """How often the shingles of each place of the table occur in a task, where clearly more often than others; and key, size, counts of each text with words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n = np.zeros(TABLE, np.int64)
+        n, seen = np.zeros(TABLE, np.int64), set()
         for batch in batches:
+            rows = []
             for t in batch.column(0):
-                np.add.at(n, (shingles_of(t.as_py())[1] % np.uint64(TABLE)).astype(np.int64), 1)
+                key, found = shingles_of(t.as_py())
+                np.add.at(n, (found % np.uint64(TABLE)).astype(np.int64), 1)
+                if key not in seen and len(found):
+                    seen.add(key)
+                    rows.append((key, len(found), counts_of(found)))
+            if rows:
+                none = pa.nulls(len(rows), pa.int64())
+                keys, sizes, counts = zip(*rows, strict=True)
+                yield pa.RecordBatch.from_arrays([none, none, pa.array(np.array(keys, np.uint64).view(np.int64)), pa.array(sizes, pa.int32()), pa.array(counts, pa.binary())], names=names)
         mean = n.mean()
         places = np.flatnonzero(n >= mean + 8 * mean**0.5 + 4)
-        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(n[places])], names=["place", "n"])
+        none = (pa.nulls(len(places), kind) for kind in (pa.int64(), pa.int32(), pa.binary()))
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(n[places]), *none], names=names)
+
+    names = ["place", "n", "key", "size", "counts"]
+    return texts.mapInArrow(run, "place long, n long, key long, size int, counts binary")
 
-    found = texts.mapInArrow(run, "place long, n long").groupBy("place").agg(F.sum("n").alias("n"))
+
+def _frequent(tallies: DataFrame) -> np.ndarray:
+    """How often the shingles of each place of the table occur, 0 where not clearly more often than others."""
+    found = tallies.where("place IS NOT NULL").groupBy("place").agg(F.sum("n").alias("n"))
     table = np.zeros(TABLE, np.uint32)
     for row in found.collect():  # TABLE rows at most
         table[row.place] = min(row.n, (1 << 32) - 1)
     return table
 
 
-def _first_shingles(texts: DataFrame, table: np.ndarray) -> DataFrame:
-    """token, key, size (of the whole set), reach for the first fifth of each text's shingles, and one more; a row without a token has the text's counts."""
-    sent = texts.sparkSession.sparkContext.broadcast(table)
+def _first_shingles(texts: DataFrame, sent: Broadcast) -> DataFrame:
+    """token, key, size (of the whole set), reach for the first fifth of each text's shingles, and one more; ``sent`` has the table of frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often, seen = sent.value, set()
         for batch in batches:
-            tokens, keys, sizes, reaches, counts = [], [], [], [], []
+            tokens, keys, sizes, reaches = [], [], [], []
             for t in batch.column(0):
                 key, found = shingles_of(t.as_py())
                 if key in seen or not len(found):  # copies of a task need no second look
@@ -150,17 +169,12 @@ def _first_shingles(texts: DataFrame, table: np.ndarray) -> DataFrame:
                 keys.append(np.full(most, key, np.uint64))
                 sizes.append(np.full(most, len(found), np.int32))
                 reaches.append(reach_of(len(found), np.arange(most)).astype(np.int32))
-                counts.append(counts_of(found))
             if tokens:
                 whole = [np.concatenate(x) for x in (tokens, keys, sizes, reaches)]
-                n = len(whole[0])
-                yield pa.RecordBatch.from_arrays([pa.array(whole[0].view(np.int64)), pa.array(whole[1].view(np.int64)), pa.array(whole[2]), pa.array(whole[3]), pa.nulls(n, pa.binary())], names=names)
-                firsts = [(k[0].view(np.int64), s[0]) for k, s in zip(keys, sizes, strict=True)]
-                n = len(firsts)
-                yield pa.RecordBatch.from_arrays([pa.nulls(n, pa.int64()), pa.array([k for k, _ in firsts], pa.int64()), pa.array([s for _, s in firsts], pa.int32()), pa.nulls(n, pa.int32()), pa.array(counts, pa.binary())], names=names)
+                yield pa.RecordBatch.from_arrays([pa.array(whole[0].view(np.int64)), pa.array(whole[1].view(np.int64)), pa.array(whole[2]), pa.array(whole[3])], names=names)
 
-    names = ["token", "key", "size", "reach", "counts"]
-    return texts.mapInArrow(run, "token long, key long, size int, reach int, counts binary")
+    names = ["token", "key", "size", "reach"]
+    return texts.mapInArrow(run, "token long, key long, size int, reach int")
 
 
 def _can_be_alike(size_a: Column, reach_a: Column, size_b: Column, reach_b: Column) -> Column:
@@ -168,34 +182,71 @@ def _can_be_alike(size_a: Column, reach_a: Column, size_b: Column, reach_b: Colu
     return (size_a <= reach_b) & (size_b <= reach_a)
 
 
-def _keys_of(pairs: DataFrame) -> DataFrame:
-    return pairs.select(F.col("a").alias("key")).union(pairs.select(F.col("b").alias("key"))).distinct()
+def _bits_of(numbers: pa.Array, bits: int) -> np.ndarray:
+    """The two bits of each number in a Bloom filter of 2**bits."""
+    spread = mix(numbers.to_numpy().view(np.uint64))
+    mask = np.uint64((1 << bits) - 1)
+    return np.stack([spread & mask, (spread >> np.uint64(32)) & mask]).astype(np.int64)
+
+
+def among(rows: DataFrame, column: str, numbers: DataFrame, n: int) -> DataFrame:
+    """The ``rows``, staged, whose ``column`` (never null) is one of the ``numbers`` (columns of longs, about ``n`` in all), and a few others.
+
+    The numbers are set in a Bloom filter whose words are put together by Spark; it has a most size,
+    from which on it lets more others through.
+    """
+    spark, place = rows.sparkSession, rows.columns.index(column)
+    bits = min(max(FILTER_BITS[0], (FILTER_PER * n).bit_length()), FILTER_BITS[1])
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = np.zeros(1 << (bits - 6), np.uint64)
+        for batch in batches:
+            for x in batch.columns:
+                at = _bits_of(x, bits).ravel()
+                np.bitwise_or.at(words, at >> 6, np.uint64(1) << (at & 63).astype(np.uint64))
+        places = np.flatnonzero(words)
+        yield pa.RecordBatch.from_arrays([pa.array(places), pa.array(words[places].view(np.int64))], names=["word", "bits"])
+
+    found = numbers.mapInArrow(build, "word long, bits long").groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    words = np.zeros(1 << (bits - 6), np.uint64)
+    words[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    sent = spark.sparkContext.broadcast(words)
+
+    def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bits_of(batch.column(place), bits)
+            held = (sent.value[at >> 6] >> (at & 63).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(held.all(axis=0)))
+
+    out = stage(rows.mapInArrow(passing, rows.schema))
+    sent.destroy()
+    return out
 
 
-def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, ends: DataFrame, text: str) -> DataFrame:
-    """The pairs (a, b) of keys whose texts are alike; ``first`` has the row_key of one text per key, ``ends`` the counts."""
+def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, text: str) -> DataFrame:
+    """The pairs (a, b) of keys whose texts are alike; ``first`` has the row_key of one text per key, its size and counts."""
     pairs = stage(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    if pairs.isEmpty():
+    n = pairs.count()
+    if not n:
         return pairs
-    counts = ends.where("token IS NULL").select("key", "size", "counts").join(_keys_of(pairs), "key")
-    # Copies in several tasks have the same counts.
-    counts = stage(counts.groupBy("key").agg(F.first("size").alias("size"), F.first("counts").alias("counts")))
-    sized = pairs.join(counts.toDF("a", "na", "ca"), "a").join(counts.toDF("b", "nb", "cb"), "b").select("a", "b", "na", "nb", "ca", "cb")
+    # Staged, so that their size is known when Spark chooses how to join them.
+    counts = among(first.select("key", "row_key", "size", "counts"), "key", pairs, 2 * n)
+    sized = pairs.join(counts.toDF("a", "ra", "na", "ca"), "a").join(counts.toDF("b", "rb", "nb", "cb"), "b")
+    sized = sized.select("a", "b", "ra", "rb", "na", "nb", "ca", "cb")
 
     def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yes = [may_be_alike(ca, cb, na, nb) for na, nb, ca, cb in zip(*(c.to_pylist() for c in batch.columns[2:]), strict=True)]
-            yield batch.select([0, 1]).filter(pa.array(yes, pa.bool_()))
+            yes = [may_be_alike(ca, cb, na, nb) for na, nb, ca, cb in zip(*(c.to_pylist() for c in batch.columns[4:]), strict=True)]
+            yield batch.select([0, 1, 2, 3]).filter(pa.array(yes, pa.bool_()))
 
-    open_ = stage(sized.mapInArrow(sift, "a long, b long"))
-    if open_.isEmpty():
+    open_ = stage(sized.mapInArrow(sift, "a long, b long, ra long, rb long"))
+    n = open_.count()
+    if not n:
         discard(pairs)
         discard(counts)
         return open_
-    # Staged, so that their size is known when Spark chooses how to find the texts.
-    rows = stage(first.join(_keys_of(open_), "key").select("row_key"))
-    texts = stage(pick(keyed, "row_key", "key", text).toDF("row_key", "key", "t").join(rows, "row_key").select("key", "t"))
-    met = open_.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b").select("a", "b", "ta", "tb")
+    texts = among(pick(keyed, "row_key", text).toDF("row_key", "t"), "row_key", open_.select("ra", "rb"), 2 * n)
+    met = open_.join(texts.toDF("ra", "ta"), "ra").join(texts.toDF("rb", "tb"), "rb").select("a", "b", "ta", "tb")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -203,7 +254,7 @@ def _alike(pairs: DataFrame, keyed: DataFrame, first: DataFrame, ends: DataFrame
             yield batch.select([0, 1]).filter(pa.array(yes, pa.bool_()))
 
     found = stage(met.mapInArrow(run, "a long, b long"))
-    for used in (pairs, counts, open_, rows, texts):
+    for used in (pairs, counts, open_, texts):
         discard(used)
     return found
 
@@ -218,26 +269,37 @@ def fingerprint_pairs(first: DataFrame) -> DataFrame:
 
 
 def _unlinked(rest: DataFrame, roots: DataFrame) -> DataFrame:
-    """``rest`` (token, key, size, reach) with the root of each key, of tokens whose texts are not all linked."""
+    """``rest`` (token, key, size, reach) with the root of each key and its place (from 1) in its token, of tokens whose texts are not all linked.
+
+    Texts have the same order in all tokens.
+    """
     rest = rest.join(roots.withColumnRenamed("node", "key"), "key", "left")
     rest = rest.select("token", "key", "size", "reach", F.coalesce("root", "key").alias("root"))
-    rest = rest.select("*", *(F.expr(f"{f}(root) OVER (PARTITION BY token)").alias(n) for f, n in (("min", "lo"), ("max", "hi"))))
+    ordered = Window.partitionBy("token").orderBy("key")
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rest = rest.select("*", F.min("root").over(whole).alias("lo"), F.max("root").over(whole).alias("hi"), F.row_number().over(ordered).alias("place"))
     return stage(rest.filter("lo != hi").drop("lo", "hi"))
 
 
 def groups(keyed: DataFrame, text: str) -> DataFrame:
     """(node, root) of every key that is linked to another; ``keyed`` is staged, with row_key, key, fp and the text."""
-    # Texts of the same words have the same fingerprint.
-    first = stage(keyed.groupBy("key").agg(F.min("row_key").alias("row_key"), F.min("fp").alias("fp")))
     texts = keyed.select(text)
-    ends = stage(_first_shingles(texts, _frequent(texts)))
-    # Of one token's texts only rows are sorted, never gathered; most tokens have one text and go at once.
-    met = ends.where("token IS NOT NULL").select("token", "key", "size", "reach")
-    met = met.select("*", *(F.expr(f"{n}(key) OVER (PARTITION BY token)").alias(n) for n in ("min", "max")))
-    links = _alike(fingerprint_pairs(first), keyed, first, ends, text)
+    tallies = stage(_tallied(texts))
+    sent = texts.sparkSession.sparkContext.broadcast(_frequent(tallies))
+    # Texts of the same words have the same fingerprint, and copies in several tasks the same counts; those without words have none.
+    first = keyed.groupBy("key").agg(F.min("row_key").alias("row_key"), F.min("fp").alias("fp"))
+    counts = tallies.where("key IS NOT NULL").groupBy("key").agg(F.first("size").alias("size"), F.first("counts").alias("counts"))
+    first = stage(first.join(counts, "key"))
+    discard(tallies)
+    links = _alike(fingerprint_pairs(first.select("key", "fp")), keyed, first, text)
     roots, turn, most = stage(components(links)), 0, CENTRES[0]
     discard(links)
+    # Of one token's texts only rows are sorted, never gathered; most tokens have one text and go at once. They are read once
+    # and never staged, as they take as much disk as the texts.
+    met = _first_shingles(texts, sent)
+    met = met.select("*", *(F.expr(f"{n}(key) OVER (PARTITION BY token)").alias(n) for n in ("min", "max")))
     left = _unlinked(met.filter("min != max").select("token", "key", "size", "reach").distinct(), roots)
+    sent.destroy()
     rows, sifted = left.count(), False
     while not left.isEmpty():
         # Those taken leave, so that other ones are taken each time.
@@ -250,21 +312,25 @@ def groups(keyed: DataFrame, text: str) -> DataFrame:
                 sifted, able = True, _sifted(left)
                 fits = _met(able, 4 * most) <= PAIRS * rows
             most = 4 * most if fits else most
-        centre = stage(_centres(able, most))
+        centre = stage(_centres(able, most)) if sifted else _named(left.where(F.col("place") <= most))
         pairs = left.join(centre, "token").filter(F.col("root") != F.col("root_b"))
         pairs = pairs.filter(_can_be_alike(F.col("size"), F.col("reach"), F.col("size_b"), F.col("reach_b")))
-        found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, ends, text)
+        found = _alike(pairs.select(F.col("key").alias("a"), "b"), keyed, first, text)
         if not found.isEmpty():
             joined = _joined(roots, found)
             discard(roots)
             roots = joined
         # Centres have met all others; a token whose other texts are all linked has nothing to tell, nor has one without centres.
-        rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti").select("token", "key", "size", "reach")
-        still = _unlinked(rest.join(centre.select("token").distinct(), "token", "left_semi") if sifted else rest, roots)
-        for used in (left, centre, found):
+        if sifted:
+            rest = left.join(centre.select("token", F.col("b").alias("key")), ["token", "key"], "left_anti")
+            rest = rest.join(centre.select("token").distinct(), "token", "left_semi")
+        else:
+            rest = left.where(F.col("place") > most)
+        still = _unlinked(rest.select("token", "key", "size", "reach"), roots)
+        for used in (left, found, *([centre] if sifted else [])):
             discard(used)
         left, turn = still, turn + 1
-    for used in (ends, left):
+    for used in (first, left):
         discard(used)
     return roots
 
@@ -286,10 +352,14 @@ def _met(able: DataFrame, most: int) -> float:
 
 
 def _centres(able: DataFrame, most: int) -> DataFrame:
-    """token, b, size_b, reach_b, root_b of ``most`` able rows of each token; texts have the same order in all groups."""
+    """The first ``most`` able rows of each token."""
     place = F.row_number().over(Window.partitionBy("token").orderBy("key"))
-    drawn = able.where("able").withColumn("place", place).where(F.col("place") <= most)
-    return drawn.select("token", *(F.col(c).alias(f) for c, f in (("key", "b"), ("size", "size_b"), ("reach", "reach_b"), ("root", "root_b"))))
+    return _named(able.where("able").withColumn("place", place).where(F.col("place") <= most))
+
+
+def _named(centres: DataFrame) -> DataFrame:
+    """token, b, size_b, reach_b, root_b of rows that meet the others of their token."""
+    return centres.select("token", *(F.col(c).alias(f) for c, f in (("key", "b"), ("size", "size_b"), ("reach", "reach_b"), ("root", "root_b"))))
 
 
 def _joined(roots: DataFrame, links: DataFrame) -> DataFrame:

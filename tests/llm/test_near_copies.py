@@ -141,3 +141,38 @@ def test_pairs_of_large_groups_keep_in_step_with_rows(spark, monkeypatch):
     kept = {r.doc_id for r in near_copies.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(4)).collect()}
     assert kept == brute_kept(docs)
     assert sum(pairs) < 20 * len(texts) and len(pairs) < 12, pairs
+
+
+def test_only_what_pairs_need_is_moved_or_kept(spark, monkeypatch):
+    """Shingles of one text only are never staged, and texts and counts are picked for their pairs without a shuffle, also where nothing is broadcast."""
+    rng, staged, real = random.Random(6), [], near_copies.stage
+
+    def noted(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        out = real(df)
+        staged.append((df.columns, out.count(), "Exchange" in plan))
+        return out
+
+    long = [f"w{rng.randrange(10**6)}" for _ in range(400)]
+    texts = [" ".join(f"v{rng.randrange(10**6)}" for _ in range(40)) for _ in range(300)]
+    texts += [" ".join(long), " ".join([*long[:-1], "other"]), " ".join([*long[:200], "other", *long[201:]])]
+    docs = list(enumerate(texts))
+    monkeypatch.setattr(near_copies, "stage", noted)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = {r.doc_id for r in near_copies.keep_one(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert kept == brute_kept(docs) == set(range(301))
+    assert sum(n for names, n, _ in staged if "token" in names) < 300
+    picked = [(n, moved) for names, n, moved in staged if "t" in names]
+    assert picked and all(n < 30 and not moved for n, moved in picked), picked
+
+
+def test_among_finds_all_and_few_others(spark):
+    rows = spark.range(20000).selectExpr("id * 3 as row_key", "cast(id as string) as t").repartition(3)
+    wanted = spark.range(500).selectExpr("id * 90 as a", "id * 90 + 3 as b")
+    got = {r.row_key for r in near_copies.among(rows, "row_key", wanted, 1000).collect()}
+    assert got >= {r for i in range(500) for r in (90 * i, 90 * i + 3)} and len(got) < 1400
+    assert near_copies.among(rows.limit(0), "row_key", wanted, 1000).count() == 0
