@@ -114,7 +114,8 @@ def _anchors(fp: Column, block: int) -> Column:
 def links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     """Pairs (a, b), a < b, of distinct fingerprints that differ in at most ``most_bits`` (2 or fewer) bits.
 
-    ``fps`` has distinct, non-null values in ``fp``. Every pair comes once.
+    ``fps`` has distinct, non-null values in ``fp``. Every pair comes once. Spark sizes the exploded anchors like the
+    fingerprints, a thirtieth of what they are, so the join sorts both sides at every size and broadcasts neither.
     """
     if not 0 <= most_bits <= MOST_BITS:
         raise ValueError("the anchors cover two differing bits at most")
@@ -126,7 +127,7 @@ def links(fps: DataFrame, most_bits: int = MOST_BITS) -> DataFrame:
     # A pair belongs to the low block if it differs there in one bit at most, else to the high one.
     block = F.when(F.bit_count(_block(differ, 0)) <= 1, 0).otherwise(1)
     return (
-        home.join(near, ["block", "anchor"])
+        home.hint("merge").join(near.hint("merge"), ["block", "anchor"])
         .filter((F.col("a") < F.col("b")) & (F.bit_count(differ) <= most_bits) & (F.col("block") == block))
         .select("a", "b")
     )
