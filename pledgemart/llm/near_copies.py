@@ -146,8 +146,8 @@ def _frequent(tallies: DataFrame) -> np.ndarray:
     """How often the shingles of each place of the table occur, 0 where not clearly more often than others."""
     found = tallies.where("place IS NOT NULL").groupBy("place").agg(F.sum("n").alias("n"))
     table = np.zeros(TABLE, np.uint32)
-    for row in found.collect():  # TABLE rows at most
-        table[row.place] = min(row.n, (1 << 32) - 1)
+    found = found.toArrow()  # TABLE rows at most, which as Python's rows would be some hundred MB
+    table[found["place"].to_numpy()] = np.minimum(found["n"].to_numpy(), (1 << 32) - 1)
     return table
 
 
